@@ -19,7 +19,11 @@ from layercake.operators.cleanse import (
 from layercake.operators.keys import dense_key
 from layercake.plans import analysis, reports, silver
 from layercake.plans.warehouse import DEFAULT_AS_OF, warehouse
-from layercake.sources import adapter
+from layercake.plans import runners
+from layercake.session import run_dir
+from layercake.sources import adapter, schemas
+from layercake.sources.catalog import Layers
+from layercake.sources.csv_ingest import CORRUPT, read_extract, write_extract
 from layercake.sources.testdata import TestTables
 
 AS_OF = DEFAULT_AS_OF
@@ -221,6 +225,64 @@ def products_report_by_product(spark, d):
     return reports.products_report_by_product(wh.fact_sales, wh.dim_products, AS_OF)
 
 
+# ---- load control ------------------------------------------------------------
+
+def csv_roundtrip(spark, d):
+    """Bronze sales extract written as CSV to shared storage and re-read typed."""
+    path = write_extract(_bronze("crm_sales_details")(spark, d),
+                         run_dir(spark, "roundtrip") + "/sales_details.csv")
+    back = read_extract(spark, path, schemas.BRONZE["crm_sales_details"])
+    return back.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def _results_frame(spark, results):
+    rows = [(r.table, r.status, r.rows_read if r.status in ("loaded", "rejected") else None,
+             r.rows_loaded if r.status == "loaded" else None,
+             r.rows_rejected if r.status in ("loaded", "rejected") else None,
+             r.status == "loaded") for r in results]
+    return spark.createDataFrame(
+        rows, "table_name string, status string, rows_read bigint, rows_loaded bigint, "
+              "rows_rejected bigint, published boolean")
+
+
+def quarantine_counts(spark, d):
+    """Bronze load of the six extracts, the sales one with malformed lines:
+    rows read / loaded / rejected per table; more than 10 rejects blocks the
+    table (the previous version stays)."""
+    base = runners.stage_extracts(spark, d, dirty_sales=True)
+    return _results_frame(spark, runners.run_bronze(spark, runners.manifest(base),
+                                                     Layers("qc_bronze", "qc_silver", "qc_gold")))
+
+
+def load_audit(spark, d):
+    """Bronze load with one extract missing: audit log rows (success + error)."""
+    layers = Layers("la_bronze", "la_silver", "la_gold")
+    base = runners.stage_extracts(spark, d)
+    specs = [s if s.table != "erp_loc_a101" else
+             runners.LoadSpec(s.table, s.path.replace(".csv", "_absent.csv"), s.schema)
+             for s in runners.manifest(base)]
+    runners.run_bronze(spark, specs, layers)
+    ok = spark.table(f"{layers.bronze}.bronze_load_success_logs").select(
+        "table_name", F.lit("loaded").alias("status"), "rows_inserted", "rows_rejected",
+        F.lit(None).cast("string").alias("message"))
+    err = spark.table(f"{layers.bronze}.bronze_load_error_logs").select(
+        "table_name", F.lit("error").alias("status"), F.lit(None).cast("long").alias("rows_inserted"),
+        F.lit(None).cast("long").alias("rows_rejected"), F.col("error_message").alias("message"))
+    return ok.unionByName(err)
+
+
+def layer_rebuild(spark, d):
+    """Namespaces, declared tables, bronze load, silver reload, gold publish:
+    row counts of every published table."""
+    layers = Layers("lr_bronze", "lr_silver", "lr_gold")
+    out = runners.rebuild(spark, d, layers, AS_OF)
+    rows = [("bronze", r.table, r.rows_loaded) for r in out["bronze"]]
+    rows += [("silver", name.split(".", 1)[1], n) for _, name, n, *_ in out["silver_ok"]]
+    for t in ("dim_products", "dim_customers", "fact_sales"):
+        rows.append(("gold", t, spark.table(f"{layers.gold}.{t}").count()))
+    return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     silver_sales, silver_products, silver_locations, silver_customers, silver_erp_customers,
     silver_categories, keep_latest_dedup, int_date_repair, measure_repair, scd2_end_dates,
@@ -229,4 +291,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     fact_sales, yearly_trend, monthly_trend, cumulative_as_written, cumulative_intended,
     product_performance_yoy, part_to_whole, segment_counts, customer_spending,
     customers_report, products_report, products_report_by_product,
+    csv_roundtrip, quarantine_counts, load_audit, layer_rebuild,
 ]}

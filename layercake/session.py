@@ -8,7 +8,6 @@ local mode (tests) do we create a private temporary directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,10 +79,15 @@ def run_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder below the shared root (one per call)."""
     base = shared_root(spark)
     app = spark.sparkContext.applicationId
-    path = "/".join([base, "layercake", app, *parts, uuid.uuid4().hex[:12]])
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    return "/".join([base, "layercake", app, *parts, uuid.uuid4().hex[:12]])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of ``path`` (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
 
 
 def materialize(df, spark: SparkSession, name: str):
