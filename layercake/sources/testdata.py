@@ -12,6 +12,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 class TestTables:
     """Lazily opened Parquet tables of one scale-factor directory."""
 
+    __test__ = False  # not a pytest test class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
