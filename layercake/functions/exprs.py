@@ -86,26 +86,38 @@ def null_if_blank(c) -> Column:
     return F.when(F.trim(c) == "", F.lit(None)).otherwise(c)
 
 
+def _eight_chars(c: Column) -> Column:
+    """The integer's text is exactly 8 characters (a sign counts)."""
+    return (c.between(10000000, 99999999)) | (c.between(-9999999, -1000000))
+
+
 def int_to_date(c) -> Column:
     """yyyymmdd integer -> DATE.
 
     0, NULL and values whose text is not exactly 8 characters give NULL.
     An 8-character value that is not a calendar date (20131332, -1234567)
     also gives NULL instead of failing the load; ``int_date_rejected``
-    flags those rows so callers can count them."""
+    flags those rows so callers can count them.
+
+    Pure integer arithmetic + ``make_date`` (no string formatting or date
+    parsing per row); CASE branches are evaluated lazily, so ``make_date``
+    only ever sees a valid year/month/day."""
     c = as_col(c)
-    txt = c.cast("string")
-    return (F.when((c == 0) | (F.length(txt) != 8), F.lit(None).cast("date"))
-            .otherwise(F.try_to_date(txt, "yyyyMMdd")))
+    y = F.call_function("div", c, F.lit(10000))
+    m = F.call_function("div", c, F.lit(100)) % 100
+    d = c % 100
+    none = F.lit(None).cast("date")
+    month_len = F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
+    return (F.when(~c.between(10000000, 99999999), none)
+             .when((m < 1) | (m > 12) | (d < 1), none)
+             .when(d > month_len, none)
+             .otherwise(F.make_date(y, m, d)))
 
 
 def int_date_rejected(c) -> Column:
     """True where an 8-character, non-zero value is not a valid date."""
     c = as_col(c)
-    txt = c.cast("string")
-    return F.coalesce(
-        (c != 0) & (F.length(txt) == 8) & F.try_to_date(txt, "yyyyMMdd").isNull(),
-        F.lit(False))
+    return F.coalesce(_eight_chars(c) & int_to_date(c).isNull(), F.lit(False))
 
 
 def std_code(c) -> Column:

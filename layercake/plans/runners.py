@@ -8,6 +8,7 @@ table, never per data row.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,17 @@ SHORT_MOD, SHORT_REM = 103, 11           # last field missing
 LONG_MOD, LONG_REM = 107, 13             # one field too many
 
 
+def _map(fn, items, parallel: bool) -> list:
+    """Apply ``fn`` to independent items; with ``parallel`` the Spark jobs are
+    submitted from a few driver threads so small tables share the cluster
+    instead of queueing.  Results keep the input order."""
+    items = list(items)
+    if not parallel or len(items) < 2:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=min(len(items), 6)) as pool:
+        return list(pool.map(fn, items))
+
+
 def manifest(base: str) -> list[LoadSpec]:
     return [LoadSpec(t, f"{base}/{f}", schemas.BRONZE[t]) for t, f in SOURCE_FILES.items()]
 
@@ -55,26 +67,34 @@ def dirty_sales_lines(sales: DataFrame) -> DataFrame:
     return sales.select(line.alias("line"))
 
 
-def stage_extracts(spark: SparkSession, sf_dir: str, dirty_sales: bool = False) -> str:
+def stage_extracts(spark: SparkSession, sf_dir: str, dirty_sales: bool = False,
+                   parallel: bool = True) -> str:
     """Write the six bronze-shaped extracts derived from the test tables as
     CSV files below a fresh shared folder; returns that folder."""
     base = run_dir(spark, "extracts")
     frames = adapter.bronze_frames(TestTables(spark, sf_dir))
-    for table, rel in SOURCE_FILES.items():
+
+    def write(item):
+        table, rel = item
         df = frames[table]
         if dirty_sales and table == "crm_sales_details":
             cols = schemas.BRONZE[table].fieldNames()
             write_lines(dirty_sales_lines(df), ",".join(cols), f"{base}/{rel}")
         else:
             write_extract(df, f"{base}/{rel}")
+
+    _map(write, SOURCE_FILES.items(), parallel)
     return base
 
 
 def run_bronze(spark: SparkSession, specs: list[LoadSpec], layers: Layers = Layers(),
-               max_errors: int | None = DEFAULT_MAX_ERRORS) -> list[LoadResult]:
-    """Load every spec (sequentially, isolated); logs are cleared each run."""
+               max_errors: int | None = DEFAULT_MAX_ERRORS,
+               parallel: bool = True) -> list[LoadResult]:
+    """Load every spec (isolated from each other); logs are cleared each run
+    and list the tables in manifest order."""
     create_namespaces(spark, layers)
-    results = [ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors) for s in specs]
+    results = _map(lambda s: ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors),
+                   specs, parallel)
     now = dt.datetime.now()
     ok = [(r.table, r.path, r.rows_loaded, r.rows_rejected, now)
           for r in results if r.status == "loaded"]
@@ -98,11 +118,13 @@ def _cleaner(table: str, as_of):
 
 
 def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
-               procedure: str = "reload_silver_tables") -> tuple[list[tuple], list[tuple]]:
-    """Reload the six silver tables in the fixed order; logs are appended."""
+               procedure: str = "reload_silver_tables",
+               parallel: bool = True) -> tuple[list[tuple], list[tuple]]:
+    """Reload the six silver tables (each isolated); logs are appended in the
+    fixed reload order."""
     as_of = as_of or dt.date.today()
-    ok, err = [], []
-    for table in silver.SILVER_ORDER:
+
+    def reload(table):
         start = dt.datetime.now()
         name = f"{layers.silver}.{table}"
         try:
@@ -112,11 +134,15 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
             obs = Observation(f"silver_{table}_{start.timestamp()}")
             publish(spark, df.observe(obs, F.count(F.lit(1)).alias("n")), name)
             end = dt.datetime.now()
-            ok.append((procedure, name, int(obs.get["n"]), start, end,
-                       int((end - start).total_seconds()), end))
+            return "ok", (procedure, name, int(obs.get["n"]), start, end,
+                          int((end - start).total_seconds()), end)
         except Exception as e:  # noqa: BLE001 - failure isolation
             cond = getattr(e, "getCondition", lambda: None)() or type(e).__name__
-            err.append((procedure, name, str(e)[:2000], cond, start, dt.datetime.now()))
+            return "err", (procedure, name, str(e)[:2000], cond, start, dt.datetime.now())
+
+    outcomes = _map(reload, silver.SILVER_ORDER, parallel)
+    ok = [row for kind, row in outcomes if kind == "ok"]
+    err = [row for kind, row in outcomes if kind == "err"]
     append(spark, ok, schemas.SILVER_SUCCESS_LOG, f"{layers.silver}.data_load_success_logs")
     if err:
         append(spark, err, schemas.SILVER_ERROR_LOG, f"{layers.silver}.data_load_error_logs")
@@ -127,11 +153,13 @@ def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict
     """Publish the star schema as tables and the three reports as views."""
     as_of = as_of or dt.date.today()
     s = {t: spark.table(f"{layers.silver}.{t}") for t in silver.SILVER_ORDER}
-    publish(spark, gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"], spark),
-            f"{layers.gold}.dim_products")
-    publish(spark, gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"],
-                                      s["erp_loc_a101"], spark),
-            f"{layers.gold}.dim_customers")
+    dims = {
+        "dim_products": lambda: gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"],
+                                                  spark),
+        "dim_customers": lambda: gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"],
+                                                    s["erp_loc_a101"], spark),
+    }
+    _map(lambda kv: publish(spark, kv[1](), f"{layers.gold}.{kv[0]}"), dims.items(), True)
     dp = spark.table(f"{layers.gold}.dim_products")
     dc = spark.table(f"{layers.gold}.dim_customers")
     publish(spark, gold.fact_sales(s["crm_sales_details"], dp, dc), f"{layers.gold}.fact_sales")

@@ -100,3 +100,17 @@ def materialize(df, spark: SparkSession, name: str):
     path = run_dir(spark, "tables", name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a source that arrives in too few input splits (e.g. one large
+    Parquet row group) over the cluster's cores.
+
+    A no-op whenever the scan already has at least ``min_partitions`` splits
+    (default: ``spark.default.parallelism``) - the normal case for large,
+    multi-file tables - so it never adds a shuffle at scale."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
