@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layercake.operators.windows import lead_within
 from layercake.functions.exprs import (
     as_col, code_map, int_date_rejected, int_div, int_to_date, std_code)
 
@@ -45,15 +46,19 @@ def split_key(df: DataFrame, col: str, prefix_out: str, rest_out: str,
 
 
 def scd2_end_date(df: DataFrame, key: str, start: str, out: str,
-                  tie_breakers: Sequence[str] = ()) -> DataFrame:
+                  tie_breakers: Sequence[str] = (), skew_safe: bool = True) -> DataFrame:
     """Version end date: the next version's start minus one day, per key.
 
-    ``lead`` over ``partitionBy(key)``; one hash exchange on ``key``.  The
-    current version gets NULL."""
-    w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first(),
-                                        *[F.col(t).asc_nulls_first() for t in tie_breakers])
-    nxt = F.lead(F.col(start)).over(w)
-    return df.withColumn(out, F.date_sub(F.to_date(nxt), 1))
+    The current version gets NULL.  With ``skew_safe`` the successor comes
+    from ``lead_within`` (a key with very many versions is split across
+    tasks); otherwise a plain ``lead`` over ``partitionBy(key)``."""
+    order = [start, *tie_breakers]
+    if skew_safe:
+        df = lead_within(df, key, order, start, "_next_start")
+    else:
+        w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        df = df.withColumn("_next_start", F.lead(F.col(start)).over(w))
+    return df.withColumn(out, F.date_sub(F.to_date("_next_start"), 1)).drop("_next_start")
 
 
 def strip_prefix(df: DataFrame, col: str, prefix: str, case_insensitive: bool = True,
