@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The modelled warehouse is batch full-load only: every layer is rebuilt from
+complete extracts, with no incremental input, watermark, event-time window
+or state.  Nothing here would correspond to a capability of the system this
+library re-expresses, so no streaming operator is provided.
+"""
