@@ -8,7 +8,7 @@ NULL ids, product versions, impossible dates, inconsistent measures, and
 facts whose product or customer has no dimension row.
 
 Each rule is a function of a key modulo a small prime; the same expressions
-are written into the SQL oracle (``oracle.py``).
+are written into the SQL oracle (``sql_oracle.py``).
 """
 
 from __future__ import annotations
@@ -145,8 +145,8 @@ def erp_cust_az12(t: TestTables) -> DataFrame:
 
 def erp_loc_a101(t: TestTables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey")
-    # nation is a fixed 25-row table: broadcasting it is size-safe at any scale.
-    n = F.broadcast(t.nation.select("n_nationkey", "n_name"))
+    # no hint: the optimizer broadcasts nation after checking its size
+    n = t.nation.select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     nk = F.col("c_nationkey")
     return j.select(

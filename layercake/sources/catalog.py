@@ -53,8 +53,11 @@ def publish_path(spark: SparkSession, name: str, path: str, schema: T.StructType
 
 
 def recreate_table(spark: SparkSession, name: str, schema: T.StructType) -> str:
-    """Drop and recreate ``name`` as an empty table with the declared schema."""
-    return publish(spark, spark.createDataFrame([], schema), name)
+    """Drop and recreate ``name`` as an empty table with the declared schema
+    (catalog metadata only; the fresh location holds no files yet)."""
+    path = run_dir(spark, "tables", name.replace(".", "/"))
+    _register(spark, name, path, schema)
+    return path
 
 
 def append(spark: SparkSession, rows: list[tuple], schema: T.StructType, name: str) -> None:
