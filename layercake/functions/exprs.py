@@ -114,10 +114,14 @@ def int_to_date(c) -> Column:
              .otherwise(F.make_date(y, m, d)))
 
 
-def int_date_rejected(c) -> Column:
-    """True where an 8-character, non-zero value is not a valid date."""
+def int_date_rejected(c, repaired=None) -> Column:
+    """True where an 8-character, non-zero value is not a valid date.
+
+    Pass the already repaired DATE column as ``repaired`` (in a later
+    projection) to avoid evaluating the conversion twice."""
     c = as_col(c)
-    return F.coalesce(_eight_chars(c) & int_to_date(c).isNull(), F.lit(False))
+    d = int_to_date(c) if repaired is None else as_col(repaired)
+    return F.coalesce(_eight_chars(c) & d.isNull(), F.lit(False))
 
 
 def std_code(c) -> Column:

@@ -85,12 +85,16 @@ def null_out_of_range(df: DataFrame, col: str, upper_exclusive, lower_inclusive,
 def repair_int_dates(df: DataFrame, cols: Sequence[str],
                      flag_suffix: str | None = None) -> DataFrame:
     """yyyymmdd INT columns -> DATE (invalid -> NULL), optionally with a
-    ``<col><flag_suffix>`` reject flag per column.  ``withColumns`` is one
-    projection over the input, so the flags still read the raw integers."""
-    out = {c: int_to_date(c) for c in cols}
-    if flag_suffix:
-        out.update({f"{c}{flag_suffix}": int_date_rejected(c) for c in cols})
-    return df.withColumns(out)
+    ``<col><flag_suffix>`` reject flag per column.  The flags are derived from
+    the raw value and the repaired date in a second projection, so each
+    conversion runs once."""
+    if not flag_suffix:
+        return df.withColumns({c: int_to_date(c) for c in cols})
+    raw = {f"_raw_{c}": F.col(c) for c in cols}
+    out = df.withColumns(raw).withColumns({c: int_to_date(c) for c in cols})
+    return out.withColumns({
+        f"{c}{flag_suffix}": int_date_rejected(f"_raw_{c}", c) for c in cols
+    }).drop(*raw)
 
 
 def repair_measures(df: DataFrame, sales: str, qty: str, price: str) -> DataFrame:

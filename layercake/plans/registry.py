@@ -77,11 +77,16 @@ def keep_latest_dedup(spark, d):
 
 def int_date_repair(spark, d):
     b = _bronze("crm_sales_details")(spark, d)
-    cols = []
-    for c in silver.SALES_DATE_COLUMNS:
-        cols += [F.col(c).alias(f"{c}_raw"), int_to_date(c).alias(c),
-                 int_date_rejected(c).alias(f"{c}_rejected")]
-    return b.select("sls_ord_num", "sls_prd_key", *cols)
+    cols = silver.SALES_DATE_COLUMNS
+    dated = b.select("sls_ord_num", "sls_prd_key",
+                     *[F.col(c).alias(f"{c}_raw") for c in cols],
+                     *[int_to_date(c).alias(c) for c in cols])
+    flagged = dated.withColumns(
+        {f"{c}_rejected": int_date_rejected(f"{c}_raw", c) for c in cols})
+    order = []
+    for c in cols:
+        order += [f"{c}_raw", c, f"{c}_rejected"]
+    return flagged.select("sls_ord_num", "sls_prd_key", *order)
 
 
 def measure_repair(spark, d):
