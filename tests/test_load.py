@@ -79,3 +79,15 @@ def test_runners_isolation_and_log_semantics(spark, small_dir):
     ok3, err3 = runners.run_silver(spark, layers, "2026-01-01")
     assert len(ok3) == 5 and [e[1] for e in err3] == ["u_silver.erp_px_cat_g1v2"]
     assert spark.table("u_silver.data_load_error_logs").count() == 1
+
+
+def test_failed_publish_keeps_previous_version(spark):
+    from pyspark.sql import functions as F
+    from layercake.sources.catalog import publish
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS t_silver")
+    publish(spark, spark.range(5).withColumn("v", F.col("id") * 2), "t_silver.p")
+    boom = spark.range(5).withColumn("v", F.when(F.col("id") == 3, F.raise_error(F.lit("boom")))
+                                     .otherwise(F.col("id")))
+    with pytest.raises(Exception):
+        publish(spark, boom, "t_silver.p")          # lazy error surfaces at the write
+    assert sorted(r.v for r in spark.table("t_silver.p").collect()) == [0, 2, 4, 6, 8]
