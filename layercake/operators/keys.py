@@ -5,24 +5,27 @@ through one task (a plain ``row_number() OVER (ORDER BY ...)`` plans an
 ``Exchange SinglePartition``):
 
 1. range-partition on the full sort key and sort within partitions - hot
-   values are split across partitions because the sort key is a total order;
+   values are split across partitions because the sort key is a total order
+   (AQE may merge adjacent small ranges; ids stay in sort order);
 2. tag each row with its partition id and ``monotonically_increasing_id``
-   (partition id << 33 + position) and materialise that once on shared
-   storage, which freezes the numbering against recomputation;
-3. count rows per partition (one row per partition), turn the counts into
-   exclusive prefix offsets and broadcast them - their size is bounded by
-   the partition count, not by the data;
-4. key = offset(partition) + position-in-partition + 1.
+   (partition id << 33 + position) and write that once to shared storage,
+   which freezes the numbering against recomputation;
+3. count rows per partition - one row per partition, the same per-partition
+   counts ``RDD.zipWithIndex`` gathers - and turn them into exclusive prefix
+   offsets on the driver;
+4. key = offset(partition) + position-in-partition + 1, through a broadcast
+   join with the offsets (their size is bounded by the partition count, not
+   by the data).
 
 Result: identical to the global ``row_number()`` for a total order, one
-shuffle, no single-partition exchange of data.
+shuffle, no single-partition exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layercake.session import materialize
@@ -32,20 +35,21 @@ def dense_key(df: DataFrame, order: Sequence[Column], key: str,
               spark: SparkSession | None = None, num_partitions: int | None = None,
               name: str = "dense_key") -> DataFrame:
     spark = spark or df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    staged = (ranged.sortWithinPartitions(*order)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_pos", F.monotonically_increasing_id()))
     staged = materialize(staged, spark, f"{name}_staged")
-    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                        F.min("_pos").alias("_first"))
-    # One row per partition: a global window over it is bounded by ``n``.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_pid", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
-        .alias("_base"))
-    return (staged.join(F.broadcast(offsets), "_pid")
+    counts = (staged.groupBy("_pid")
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first"))
+                    .collect())                       # one row per partition
+    offsets, before = [], 0
+    for r in sorted(counts, key=lambda r: r["_pid"]):
+        offsets.append((r["_pid"], before - r["first"]))
+        before += r["n"]
+    off = spark.createDataFrame(offsets, "_pid int, _base long")
+    return (staged.join(F.broadcast(off), "_pid")
                   .withColumn(key, (F.col("_pos") + F.col("_base") + 1).cast("long"))
                   .drop("_pid", "_pos", "_base"))
 

@@ -38,10 +38,11 @@ from layercake.session import materialize
 def lead_within(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
                 num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     asc = [F.col(c).asc_nulls_first() for c in order]
-    ranged = (df.repartitionByRange(n, F.col(key).asc_nulls_first(), *asc)
-                .withColumn("_pid", F.spark_partition_id()))
+    by = [F.col(key).asc_nulls_first(), *asc]
+    # no explicit count: AQE may coalesce adjacent ranges (ids stay ordered)
+    ranged = (df.repartitionByRange(num_partitions, *by) if num_partitions
+              else df.repartitionByRange(*by)).withColumn("_pid", F.spark_partition_id())
     ranged = materialize(ranged, spark, "lead_within")
 
     firsts = ranged.groupBy("_pid", key).agg(

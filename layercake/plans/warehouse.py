@@ -40,10 +40,7 @@ def build(spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> Warehouse:
     s = silver.clean_all(bronze, as_of)
     dp = gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"], spark)
     dc = gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"], spark)
-    # written once: every query reads the keyed files instead of recomputing
-    # the per-partition offsets
-    dp = materialize(dp, spark, "dim_products")
-    dc = materialize(dc, spark, "dim_customers")
+    # dense_key returns frozen keys: staged files + a local offsets table
     fact = materialize(gold.fact_sales(s["crm_sales_details"], dp, dc), spark, "fact_sales")
     return Warehouse(bronze, s, dp, dc, fact, as_of)
 
