@@ -66,15 +66,15 @@ def main():
 
 * `part_to_whole`: the scalar subquery's global `sum` (one partial row per
   partition reaches the final aggregate).
-* `surrogate_key_dense` (and the dimension builds): the prefix sum over the
-  per-partition row counts in `dense_key` (one row per partition).
 * `cumulative_*`: the running window over one row per year (at most 9999).
 
 Dimension, fact and load-control queries read materialised tables or small
 driver-side audit frames, so their final plans are scans only; the work is
 in the jobs that built them (range exchange + write in `dense_key` and
 `lead_within`, sort-merge or broadcast joins in the fact build, one
-partitioned write per CSV load).
+partitioned write per CSV load). `dense_key` turns its per-partition row
+counts (one row per partition) into offsets on the driver, so it needs no
+global window at all.
 """)
     print("\n## Filters pushed into Parquet scans\n")
     for name, p in pushed.items():
