@@ -117,12 +117,22 @@ def _cleaner(table: str, as_of):
     }[table]
 
 
+class SilverRun(tuple):
+    """``(success_rows, error_rows)`` plus ``total_seconds`` of the reload."""
+
+    def __new__(cls, ok: list[tuple], err: list[tuple], total_seconds: float):
+        run = super().__new__(cls, (ok, err))
+        run.total_seconds = total_seconds
+        return run
+
+
 def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
                procedure: str = "reload_silver_tables",
-               parallel: bool = True) -> tuple[list[tuple], list[tuple]]:
+               parallel: bool = True) -> SilverRun:
     """Reload the six silver tables (each isolated); logs are appended in the
-    fixed reload order."""
+    fixed reload order.  The result also carries the total duration."""
     as_of = as_of or dt.date.today()
+    proc_start = dt.datetime.now()
 
     def reload(table):
         start = dt.datetime.now()
@@ -146,7 +156,7 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
     append(spark, ok, schemas.SILVER_SUCCESS_LOG, f"{layers.silver}.data_load_success_logs")
     if err:
         append(spark, err, schemas.SILVER_ERROR_LOG, f"{layers.silver}.data_load_error_logs")
-    return ok, err
+    return SilverRun(ok, err, (dt.datetime.now() - proc_start).total_seconds())
 
 
 def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict[str, DataFrame]:
@@ -184,6 +194,8 @@ def rebuild(spark: SparkSession, sf_dir: str, layers: Layers = Layers(), as_of=N
     specs = [LoadSpec(s.table, s.path + "_missing", s.schema) if s.table in missing else s
              for s in manifest(base)]
     bronze = run_bronze(spark, specs, layers)
-    ok, err = run_silver(spark, layers, as_of)
+    run = run_silver(spark, layers, as_of)
+    ok, err = run
     views = run_gold(spark, layers, as_of)
-    return {"bronze": bronze, "silver_ok": ok, "silver_err": err, "views": views}
+    return {"bronze": bronze, "silver_ok": ok, "silver_err": err,
+            "silver_total_seconds": run.total_seconds, "views": views}

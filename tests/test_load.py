@@ -69,7 +69,9 @@ def test_runners_isolation_and_log_semantics(spark, small_dir):
     assert spark.table("u_bronze.bronze_load_error_logs").count() == 0
     assert spark.table("u_bronze.bronze_load_success_logs").count() == 6
     # silver: appended logs, each table its own job
-    ok1, err1 = runners.run_silver(spark, layers, "2026-01-01")
+    run1 = runners.run_silver(spark, layers, "2026-01-01")
+    ok1, err1 = run1
+    assert run1.total_seconds >= max(r[5] for r in ok1)
     ok2, _ = runners.run_silver(spark, layers, "2026-01-01")
     assert len(ok1) == 6 and not err1
     assert spark.table("u_silver.data_load_success_logs").count() == 12
