@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_col", "int_div", "int_avg", "int_avg_over", "month_diff", "year_diff",
     "concat_nulls_as_empty", "concat_null_propagating", "int_to_date",
-    "int_date_rejected", "std_code", "code_map", "code_in", "band",
-    "round_ratio", "pct_text", "trim_spaces", "null_if_blank", "ci_key",
+    "int_date_rejected", "std_code", "code_map", "band",
+    "round_ratio", "pct_text", "ci_key",
 ]
 
 
@@ -76,16 +76,6 @@ def concat_null_propagating(*cols) -> Column:
     return F.concat(*[as_col(c) for c in cols])
 
 
-def trim_spaces(c) -> Column:
-    """TRIM of leading/trailing spaces only (tabs and newlines are kept)."""
-    return F.trim(as_col(c))
-
-
-def null_if_blank(c) -> Column:
-    c = as_col(c)
-    return F.when(F.trim(c) == "", F.lit(None)).otherwise(c)
-
-
 def _eight_chars(c: Column) -> Column:
     """The integer's text is exactly 8 characters (a sign counts)."""
     return (c.between(10000000, 99999999)) | (c.between(-9999999, -1000000))
@@ -142,10 +132,6 @@ def code_map(c, mapping: Mapping[str, str], default: str | None = "Unknown",
     return out.otherwise(F.lit(default))
 
 
-def code_in(c, codes: Sequence[str]) -> Column:
-    return std_code(c).isin(list(codes))
-
-
 def band(c, cuts: Sequence, labels: Sequence[str], default: str | None = None) -> Column:
     """Banding by inclusive upper bounds.
 
