@@ -45,8 +45,14 @@ def lead_within(df: DataFrame, key: str, order: Sequence[str], value: str, out:
               else df.repartitionByRange(*by)).withColumn("_pid", F.spark_partition_id())
     ranged = materialize(ranged, spark, "lead_within")
 
-    firsts = ranged.groupBy("_pid", key).agg(
-        F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_first"))
+    if value == order[0]:
+        # first value in (value asc nulls first, ...) order: NULL if the slice
+        # has a NULL, else the minimum - a hash aggregate (count + min)
+        v = F.col(value)
+        first = F.when(F.count(F.lit(1)) > F.count(v), F.lit(None)).otherwise(F.min(v))
+    else:
+        first = F.min_by(F.col(value), F.struct(*[F.col(c) for c in order]))
+    firsts = ranged.groupBy("_pid", key).agg(first.alias("_first"))
     successor = firsts.select(
         "_pid", key,
         F.lead("_first").over(Window.partitionBy(key).orderBy("_pid")).alias("_v"))

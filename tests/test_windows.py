@@ -48,3 +48,15 @@ def test_real_product_versions_match_plain_lead(spark):
     ref = b.withColumn("ref", F.lead("prd_start_dt").over(w)).select("prd_id", "ref")
     bad = got.join(ref, "prd_id").filter(~F.col("nxt").eqNullSafe(F.col("ref"))).count()
     assert bad == 0
+
+
+def test_lead_of_other_column(spark):
+    # value column differs from the leading order column (generic min_by path)
+    df = spark.range(0, 2000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+            F.concat(F.lit("k"), (F.col("id") % 20).cast("string"))).alias("k"),
+        (F.col("id") * 13 % 500).alias("t"), (F.col("id") * 7).alias("v"))
+    got = lead_within(df, "k", ["t", "id"], "v", "nxt", num_partitions=6)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    ref = df.withColumn("ref", F.lead("v").over(w)).select("id", "ref")
+    assert got.join(ref, "id").filter(~F.col("nxt").eqNullSafe(F.col("ref"))).count() == 0
