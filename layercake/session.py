@@ -19,6 +19,10 @@ _SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keep-latest dedup relies on the partial top-1 before its shuffle
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # round-robin repartition must give the same rows per task on retry
+    "spark.sql.execution.sortBeforeRepartition": "true",
 }
 
 
