@@ -184,18 +184,32 @@ def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict
     return views
 
 
+def run_all(spark: SparkSession, extract_dir: str, layers: Layers = Layers(), as_of=None,
+            max_errors: int | None = DEFAULT_MAX_ERRORS,
+            specs: list[LoadSpec] | None = None) -> dict:
+    """The whole warehouse from a folder of CSV extracts laid out as in
+    ``SOURCE_FILES``: namespaces, declared bronze tables, bronze load, silver
+    reload, gold tables and report views."""
+    create_namespaces(spark, layers)
+    for t, st in schemas.BRONZE.items():
+        if not spark.catalog.tableExists(f"{layers.bronze}.{t}"):
+            recreate_table(spark, f"{layers.bronze}.{t}", st)
+    bronze = run_bronze(spark, specs or manifest(extract_dir), layers, max_errors)
+    run = run_silver(spark, layers, as_of)
+    ok, err = run
+    views = run_gold(spark, layers, as_of)
+    return {"bronze": bronze, "silver_ok": ok, "silver_err": err,
+            "silver_total_seconds": run.total_seconds, "views": views}
+
+
 def rebuild(spark: SparkSession, sf_dir: str, layers: Layers = Layers(), as_of=None,
             missing: tuple[str, ...] = ()) -> dict:
-    """Whole warehouse: namespaces, declared tables, bronze, silver, gold."""
+    """Rebuild from scratch on extracts staged from the test tables:
+    declared tables recreated, then ``run_all``."""
     create_namespaces(spark, layers)
     for t, st in schemas.BRONZE.items():
         recreate_table(spark, f"{layers.bronze}.{t}", st)
     base = stage_extracts(spark, sf_dir)
     specs = [LoadSpec(s.table, s.path + "_missing", s.schema) if s.table in missing else s
              for s in manifest(base)]
-    bronze = run_bronze(spark, specs, layers)
-    run = run_silver(spark, layers, as_of)
-    ok, err = run
-    views = run_gold(spark, layers, as_of)
-    return {"bronze": bronze, "silver_ok": ok, "silver_err": err,
-            "silver_total_seconds": run.total_seconds, "views": views}
+    return run_all(spark, base, layers, as_of, specs=specs)
