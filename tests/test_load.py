@@ -93,3 +93,16 @@ def test_failed_publish_keeps_previous_version(spark):
     with pytest.raises(Exception):
         publish(spark, boom, "t_silver.p")          # lazy error surfaces at the write
     assert sorted(r.v for r in spark.table("t_silver.p").collect()) == [0, 2, 4, 6, 8]
+
+
+def test_run_all_on_extract_folder(spark, small_dir):
+    from layercake.plans.warehouse import warehouse
+    layers = Layers("ra_bronze", "ra_silver", "ra_gold")
+    base = runners.stage_extracts(spark, small_dir)
+    out = runners.run_all(spark, base, layers, "2026-01-01")
+    assert all(r.status == "loaded" for r in out["bronze"]) and not out["silver_err"]
+    wh = warehouse(spark, small_dir)
+    assert spark.table("ra_gold.fact_sales").count() == wh.fact_sales.count()
+    assert spark.table("ra_gold.dim_products").count() == wh.dim_products.count()
+    n = spark.sql("SELECT count(*) FROM ra_gold_customers_report").collect()[0][0]
+    assert n == wh.fact_sales.select("customer_key").distinct().count()
