@@ -87,12 +87,6 @@ def _condition(e: Exception) -> str:
         return type(e).__name__
 
 
-def _ensure_dir(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """An empty split writes no folder; give it an empty Parquet file set."""
-    if not path_exists(spark, path):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-
-
 def ingest(spark: SparkSession, spec: LoadSpec, target: str,
            max_errors: int | None = DEFAULT_MAX_ERRORS) -> LoadResult:
     """Load one extract into table ``target`` (and ``target``_quarantine)."""
@@ -124,11 +118,11 @@ def ingest(spark: SparkSession, spec: LoadSpec, target: str,
             res.message = (f"{res.rows_rejected} rows could not be parsed "
                            f"(more than {max_errors}); table left unchanged")
             return res
+        # an empty split writes no folder; a table over a missing location
+        # reads as empty with its declared schema, so no placeholder write
         good, bad = f"{version}/quarantined=false", f"{version}/quarantined=true"
         bad_schema = T.StructType(list(spec.schema.fields) +
                                   [T.StructField(CORRUPT, T.StringType(), True)])
-        _ensure_dir(spark, good, bad_schema)
-        _ensure_dir(spark, bad, bad_schema)
         publish_path(spark, target, good, spec.schema)
         publish_path(spark, f"{target}_quarantine", bad, bad_schema)
         res.status = "loaded"

@@ -68,6 +68,9 @@ def test_runners_isolation_and_log_semantics(spark, small_dir):
     runners.run_bronze(spark, runners.manifest(base), layers)
     assert spark.table("u_bronze.bronze_load_error_logs").count() == 0
     assert spark.table("u_bronze.bronze_load_success_logs").count() == 6
+    # a clean extract has an empty (folder-less) quarantine table
+    assert spark.table("u_bronze.erp_px_cat_g1v2_quarantine").count() == 0
+    assert "_corrupt_record" in spark.table("u_bronze.erp_px_cat_g1v2_quarantine").columns
     # silver: appended logs, each table its own job
     run1 = runners.run_silver(spark, layers, "2026-01-01")
     ok1, err1 = run1
