@@ -101,9 +101,10 @@ def products_report(fact: DataFrame, dim_products: DataFrame, as_of: dt.date | s
         F.countDistinct("order_number").alias("total_orders"),
         F.sum("sales_amount").cast("long").alias("total_sales"),
         F.sum("quantity").cast("long").alias("total_quantity"),
-        F.countDistinct("customer_key").alias("total_customers"),
-        F.max("order_date").alias("last_order"),
-        F.min("order_date").alias("first_order"))
+        F.countDistinct("customer_key").alias("total_customers"))
+    # order_date is a grouping key, so first = last order = order_date
+    agg = agg.withColumns({"last_order": F.col("order_date"),
+                           "first_order": F.col("order_date")})
     dim = dim_products.select("product_key", "product_name", "category", "sub_category", "cost")
     j = agg.join(dim, "product_key", "inner").withColumn(
         "_month", F.trunc("order_date", "month"))
