@@ -46,18 +46,26 @@ def main() -> None:
     warehouse(spark, sf_dir)  # adapter -> silver -> gold, dims and fact materialised
     times["warehouse_build"] = round(time.time() - t0, 3)
 
+    failed: dict[str, str] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         t = time.time()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            failed[name] = f"{type(e).__name__}: {e}"[:300]
+            print(f"{name:28s} FAILED {failed[name]}", file=sys.stderr)
+            continue
         times[name] = round(time.time() - t, 3)
         print(f"{name:28s} {times[name]:8.2f}s", file=sys.stderr)
 
     total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus,
-                      "warmup_sec": warmup}))
+    out = {"metric": "total_query_seconds", "value": total, "unit": "sec",
+           "queries": times, "sf": sf, "cpus": cpus, "warmup_sec": warmup}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
