@@ -40,3 +40,51 @@ def test_dense_key_equals_row_number(spark, rows, parts):
     ref = {r.id: r.rn for r in df.select(
         "id", F.row_number().over(Window.orderBy(*order)).alias("rn")).collect()}
     assert got == ref
+
+
+def _py_repair(s, q, p):
+    expected = None if q is None or p is None else q * abs(p)
+    bad = s is None or s <= 0 or (expected is not None and s != expected)
+    new_s = expected if bad else s
+    if p is None:
+        new_p = None if (s is None or q is None or q == 0) else int(s / q)  # truncating
+    elif p <= 0:
+        new_p = abs(p)
+    else:
+        new_p = p
+    return new_s, new_p
+
+
+INTS = st.one_of(st.none(), st.integers(-50, 50))
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(INTS, INTS, INTS), min_size=1, max_size=200))
+def test_repair_measures_matches_rules(spark, rows):
+    from layercake.operators.cleanse import repair_measures
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, s int, q int, p int")
+    got = {r.i: (r.s, r.p) for r in repair_measures(df, "s", "q", "p").collect()}
+    assert got == {i: _py_repair(*r) for i, r in enumerate(rows)}
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-10, 80)), min_size=1, max_size=200))
+def test_band_matches_rules(spark, vals):
+    from layercake.functions.exprs import band
+    from layercake.plans import reports
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v int")
+    got = {r.i: r.b for r in df.select(
+        "i", band("v", reports.AGE_CUTS, reports.AGE_LABELS, reports.AGE_OTHER).alias("b"))
+        .collect()}
+
+    def py(v):
+        if v is None:
+            return "50 And Above"
+        if v < 20:
+            return "Under 20"
+        for lo, label in ((20, "20-29"), (30, "30-39"), (40, "40-49")):
+            if lo <= v <= lo + 9:
+                return label
+        return "50 And Above"
+    assert got == {i: py(v) for i, v in enumerate(vals)}
