@@ -8,13 +8,12 @@ table, never per data row.
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layercake.plans import gold, reports, silver
-from layercake.session import run_dir
+from layercake.session import run_concurrently, run_dir
 from layercake.sources import adapter, schemas
 from layercake.sources.catalog import (
     Layers, append, create_namespaces, overwrite_small, publish, recreate_table)
@@ -38,17 +37,6 @@ SHORT_MOD, SHORT_REM = 103, 11           # last field missing
 LONG_MOD, LONG_REM = 107, 13             # one field too many
 
 
-def _map(fn, items, parallel: bool) -> list:
-    """Apply ``fn`` to independent items; with ``parallel`` the Spark jobs are
-    submitted from a few driver threads so small tables share the cluster
-    instead of queueing.  Results keep the input order."""
-    items = list(items)
-    if not parallel or len(items) < 2:
-        return [fn(i) for i in items]
-    with ThreadPoolExecutor(max_workers=min(len(items), 6)) as pool:
-        return list(pool.map(fn, items))
-
-
 def manifest(base: str) -> list[LoadSpec]:
     return [LoadSpec(t, f"{base}/{f}", schemas.BRONZE[t]) for t, f in SOURCE_FILES.items()]
 
@@ -83,7 +71,7 @@ def stage_extracts(spark: SparkSession, sf_dir: str, dirty_sales: bool = False,
         else:
             write_extract(df, f"{base}/{rel}")
 
-    _map(write, SOURCE_FILES.items(), parallel)
+    run_concurrently(write, SOURCE_FILES.items(), parallel)
     return base
 
 
@@ -93,7 +81,7 @@ def run_bronze(spark: SparkSession, specs: list[LoadSpec], layers: Layers = Laye
     """Load every spec (isolated from each other); logs are cleared each run
     and list the tables in manifest order."""
     create_namespaces(spark, layers)
-    results = _map(lambda s: ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors),
+    results = run_concurrently(lambda s: ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors),
                    specs, parallel)
     now = dt.datetime.now()
     ok = [(r.table, r.path, r.rows_loaded, r.rows_rejected, now)
@@ -150,7 +138,7 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
             cond = getattr(e, "getCondition", lambda: None)() or type(e).__name__
             return "err", (procedure, name, str(e)[:2000], cond, start, dt.datetime.now())
 
-    outcomes = _map(reload, silver.SILVER_ORDER, parallel)
+    outcomes = run_concurrently(reload, silver.SILVER_ORDER, parallel)
     ok = [row for kind, row in outcomes if kind == "ok"]
     err = [row for kind, row in outcomes if kind == "err"]
     append(spark, ok, schemas.SILVER_SUCCESS_LOG, f"{layers.silver}.data_load_success_logs")
@@ -169,7 +157,7 @@ def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict
         "dim_customers": lambda: gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"],
                                                     s["erp_loc_a101"], spark),
     }
-    _map(lambda kv: publish(spark, kv[1](), f"{layers.gold}.{kv[0]}"), dims.items(), True)
+    run_concurrently(lambda kv: publish(spark, kv[1](), f"{layers.gold}.{kv[0]}"), dims.items(), True)
     dp = spark.table(f"{layers.gold}.dim_products")
     dc = spark.table(f"{layers.gold}.dim_customers")
     publish(spark, gold.fact_sales(s["crm_sales_details"], dp, dc), f"{layers.gold}.fact_sales")

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from layercake.plans import gold, silver
-from layercake.session import materialize
+from layercake.session import materialize, run_concurrently
 from layercake.sources import adapter
 from layercake.sources.testdata import TestTables
 
@@ -38,8 +38,12 @@ def build(spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> Warehouse:
     t = TestTables(spark, sf_dir)
     bronze = adapter.bronze_frames(t)
     s = silver.clean_all(bronze, as_of)
-    dp = gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"], spark)
-    dc = gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"], spark)
+    # the two dimensions are independent: build them concurrently
+    dp, dc = run_concurrently(lambda f: f(), [
+        lambda: gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"], spark),
+        lambda: gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"],
+                                   s["erp_loc_a101"], spark),
+    ])
     # dense_key returns frozen keys: staged files + a local offsets table
     fact = materialize(gold.fact_sales(s["crm_sales_details"], dp, dc), spark, "fact_sales")
     return Warehouse(bronze, s, dp, dc, fact, as_of)

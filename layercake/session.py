@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -118,3 +119,14 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def run_concurrently(fn, items, parallel: bool = True, max_workers: int = 6) -> list:
+    """Apply ``fn`` to independent items.  With ``parallel`` the Spark jobs
+    are submitted from a few driver threads, so small independent tables
+    share the cluster instead of queueing.  Results keep the input order."""
+    items = list(items)
+    if not parallel or len(items) < 2:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=min(len(items), max_workers)) as pool:
+        return list(pool.map(fn, items))
