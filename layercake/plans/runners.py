@@ -81,8 +81,8 @@ def run_bronze(spark: SparkSession, specs: list[LoadSpec], layers: Layers = Laye
     """Load every spec (isolated from each other); logs are cleared each run
     and list the tables in manifest order."""
     create_namespaces(spark, layers)
-    results = run_concurrently(lambda s: ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors),
-                   specs, parallel)
+    results = run_concurrently(
+        lambda s: ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors), specs, parallel)
     now = dt.datetime.now()
     ok = [(r.table, r.path, r.rows_loaded, r.rows_rejected, now)
           for r in results if r.status == "loaded"]
@@ -157,7 +157,8 @@ def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict
         "dim_customers": lambda: gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"],
                                                     s["erp_loc_a101"], spark),
     }
-    run_concurrently(lambda kv: publish(spark, kv[1](), f"{layers.gold}.{kv[0]}"), dims.items(), True)
+    run_concurrently(lambda kv: publish(spark, kv[1](), f"{layers.gold}.{kv[0]}"),
+                     dims.items(), True)
     dp = spark.table(f"{layers.gold}.dim_products")
     dc = spark.table(f"{layers.gold}.dim_customers")
     publish(spark, gold.fact_sales(s["crm_sales_details"], dp, dc), f"{layers.gold}.fact_sales")
