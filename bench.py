@@ -29,7 +29,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = local_session(cpus, shuffle_partitions=2 * cpus, app_name="layercake-bench")
+    spark = local_session(cpus, shuffle_partitions=2 * cpus, app_name="layercake-bench",
+                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 

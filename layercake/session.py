@@ -35,7 +35,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "layercake") -> SparkSession:
+                  app_name: str = "layercake", driver_memory: str = "8g") -> SparkSession:
     """Local session for tests and benchmarks."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -43,7 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
