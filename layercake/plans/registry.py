@@ -271,7 +271,8 @@ def load_audit(spark, d):
         "table_name", F.lit("loaded").alias("status"), "rows_inserted", "rows_rejected",
         F.lit(None).cast("string").alias("message"))
     err = spark.table(f"{layers.bronze}.bronze_load_error_logs").select(
-        "table_name", F.lit("error").alias("status"), F.lit(None).cast("long").alias("rows_inserted"),
+        "table_name", F.lit("error").alias("status"),
+        F.lit(None).cast("long").alias("rows_inserted"),
         F.lit(None).cast("long").alias("rows_rejected"), F.col("error_message").alias("message"))
     return ok.unionByName(err)
 
