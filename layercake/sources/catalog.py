@@ -83,3 +83,31 @@ def _location(spark: SparkSession, name: str) -> str:
         if r[0] == "Location":
             return r[1]
     raise RuntimeError(f"no location for {name}")
+
+
+def vacuum_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
+    """Delete old version folders of table ``name``, keeping the newest
+    ``keep`` (the current location is always kept).  Opt-in: call it once no
+    reader still uses the older versions.  Returns the deleted paths."""
+    current = _location(spark, name)
+    jvm = spark.sparkContext._jvm
+    cur = jvm.org.apache.hadoop.fs.Path(current)
+    if cur.getName().startswith("quarantined="):
+        cur = cur.getParent()          # CSV loads: the version folder holds both splits
+    parent = cur.getParent()
+    fs = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    cur_q = fs.makeQualified(cur).toString().rstrip("/")
+    versions = [st for st in fs.listStatus(parent) if st.isDirectory()]
+    versions.sort(key=lambda st: st.getModificationTime(), reverse=True)
+    kept = {cur_q}
+    for st in versions:
+        if len(kept) >= max(keep, 1):
+            break
+        kept.add(st.getPath().toString().rstrip("/"))
+    deleted = []
+    for st in versions:
+        p = st.getPath().toString().rstrip("/")
+        if p not in kept:
+            fs.delete(st.getPath(), True)
+            deleted.append(p)
+    return deleted

@@ -109,3 +109,25 @@ def test_run_all_on_extract_folder(spark, small_dir):
     assert spark.table("ra_gold.dim_products").count() == wh.dim_products.count()
     n = spark.sql("SELECT count(*) FROM ra_gold_customers_report").collect()[0][0]
     assert n == wh.fact_sales.select("customer_key").distinct().count()
+
+
+def test_vacuum_keeps_current_and_newest(spark):
+    import time
+    from layercake.sources.catalog import publish, vacuum_versions
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS t_vac")
+    for i in range(4):
+        publish(spark, spark.range(i + 1), "t_vac.v")
+        time.sleep(0.05)
+    deleted = vacuum_versions(spark, "t_vac.v", keep=2)
+    assert len(deleted) == 2
+    assert spark.table("t_vac.v").count() == 4          # current version intact
+
+
+def test_vacuum_loaded_table(spark, csv_dir):
+    from layercake.sources.catalog import vacuum_versions
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS t_bronze")
+    for _ in range(2):
+        ingest(spark, LoadSpec("tv", csv_dir, SCHEMA), "t_bronze.tv")
+    assert len(vacuum_versions(spark, "t_bronze.tv", keep=1)) == 1
+    assert spark.table("t_bronze.tv").count() == 3
+    assert spark.table("t_bronze.tv_quarantine").count() == 3
