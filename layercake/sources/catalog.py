@@ -97,6 +97,8 @@ def vacuum_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
     parent = cur.getParent()
     fs = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     cur_q = fs.makeQualified(cur).toString().rstrip("/")
+    if not fs.exists(parent):
+        return []                      # declared but never written (recreate_table)
     versions = [st for st in fs.listStatus(parent) if st.isDirectory()]
     versions.sort(key=lambda st: st.getModificationTime(), reverse=True)
     kept = {cur_q}

@@ -131,3 +131,11 @@ def test_vacuum_loaded_table(spark, csv_dir):
     assert len(vacuum_versions(spark, "t_bronze.tv", keep=1)) == 1
     assert spark.table("t_bronze.tv").count() == 3
     assert spark.table("t_bronze.tv_quarantine").count() == 3
+
+
+def test_vacuum_on_never_written_table(spark):
+    from layercake.sources import schemas
+    from layercake.sources.catalog import recreate_table, vacuum_versions
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS t_vac")
+    recreate_table(spark, "t_vac.empty", schemas.BRONZE["erp_loc_a101"])
+    assert vacuum_versions(spark, "t_vac.empty") == []
