@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layercake.llm import bpe, html_text, line_dedup, packing, token_files, toxicity
+from layercake.llm import bpe, graph_search, html_text, line_dedup, packing, token_files, toxicity, vector_dedup
 from layercake.llm.common import read
 
 
@@ -20,6 +20,10 @@ def tokenizer_path() -> str:
     return str(path)
 
 
+def op1_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write(spark, read(spark, sf_dir, "documents"), token_files.token_folder(spark),
                                  tokenizer_path(), end_id=2)
@@ -44,6 +48,10 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark, read(spark, sf_dir, "pages"))
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.dedup(spark, read(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     lexicon = toxicity.fit(spark, docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
@@ -52,7 +60,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op5_line_dedup, op6_packing, op7_bpe, op8_html, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_graph_search, op3_token_files, op5_line_dedup, op6_packing, op7_bpe, op8_html,
+                                   op9_vector_dedup, op10_toxicity)}
 
 ORACLE_SQL = {
     "op5_line_dedup": f"""
