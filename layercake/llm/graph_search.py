@@ -197,7 +197,10 @@ def index(spark: SparkSession, vectors: DataFrame, k: int, shard_rows: int = SHA
         first = table.slice(0, 1)
         return pa.table({"dim": first["dim"], "shard": first["shard"], "graph": pa.array([data], pa.binary())})
 
-    rows = (dealt.select("dim", "shard", "rep", "embedding", "members").groupBy("dim", "shard")
+    # building takes far longer than moving: a partition a shard, however few bytes they are
+    shards = int(counts.agg(F.sum("shards")).first()[0] or 1)
+    rows = (dealt.select("dim", "shard", "rep", "embedding", "members").repartition(shards, "dim", "shard")
+            .groupBy("dim", "shard")
             .applyInArrow(one, "dim int, shard int, graph binary"))
     return materialize(rows.join(counts, "dim"), spark, "ann_index")
 

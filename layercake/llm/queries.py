@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layercake.llm import bpe, graph_search, html_text, line_dedup, packing, token_files, toxicity, vector_dedup
+from layercake.llm import bpe, graph_search, html_text, jaccard_join, line_dedup, packing, token_files, toxicity, vector_dedup
 from layercake.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_index(manifest)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(spark, read(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("n_lines_before").alias("n_lines"), F.col("n_lines_removed").alias("n_removed"),
@@ -60,7 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_graph_search, op3_token_files, op5_line_dedup, op6_packing, op7_bpe, op8_html,
+QUERIES = {f.__name__: f for f in (op1_graph_search, op3_token_files, op4_jaccard_join, op5_line_dedup, op6_packing, op7_bpe, op8_html,
                                    op9_vector_dedup, op10_toxicity)}
 
 ORACLE_SQL = {
