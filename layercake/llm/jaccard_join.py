@@ -276,6 +276,81 @@ def _verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Dat
     return materialize(both.mapInArrow(verify, "a long, b long"), spark, "jaccard_links")
 
 
+def _block_pairs(spark: SparkSession, members: DataFrame, nodes: DataFrame, percent: int,
+                 block: int = 1024) -> DataFrame:
+    """Pairs (a, b) of ``members`` (signature, node, part) in one group and
+    different parts that the bitmaps allow to link.
+
+    Near copies share most of their combinations, so signatures with the same
+    smallest node are one group: its pairs are tested once, not once for each
+    signature.  Groups are dealt to blocks of bounded size, and two blocks at
+    a time are compared, so neither a group nor its pairs are ever held whole
+    and only pairs that pass are emitted."""
+    heads = members.groupBy("signature").agg(F.min("node").alias("head"))
+    grouped = materialize(members.join(heads, "signature").select("head", "node", "part").distinct(), spark,
+                          "jaccard_groups")
+    sizes = (grouped.groupBy("head").agg(F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high"))
+             .where("low <> high").select("head", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
+    rows = (grouped.join(sizes, "head").join(nodes.toDF("node", "n", "bits"), "node")
+            .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+            .select("head", "block", "blocks", "node", "part", "n", "bits"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        bits = table.column("bits").to_pylist()
+        first = table.slice(0, 1)
+        numbers = np.stack([table.column(c).to_numpy() for c in ("node", "part", "n")]
+                           + [np.array([len(x) for x in bits])]).astype(np.int64)
+        return pa.table({"head": first["head"], "block": first["block"], "blocks": first["blocks"],
+                         "numbers": pa.array([numbers.tobytes()], pa.binary()),
+                         "bits": pa.array([b"".join(bits)], pa.binary())})
+
+    packed = materialize(rows.groupBy("head", "block").applyInArrow(
+        pack, "head long, block int, blocks int, numbers binary, bits binary"), spark, "jaccard_blocks")
+    other = packed.select("head", F.col("block").alias("block2"), F.col("numbers").alias("numbers2"),
+                          F.col("bits").alias("bits2"))
+    work = (packed.withColumn("block2", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
+            .join(other, ["head", "block2"]).select("numbers", "bits", "numbers2", "bits2"))
+
+    def sides(numbers: bytes, bits: bytes):
+        """(node, part, n, bitmaps) for each bitmap size of a block."""
+        node, part, n, size = np.frombuffer(numbers, np.int64).reshape(4, -1)
+        ends = np.cumsum(size)
+        data = np.frombuffer(bits, np.uint8)
+        for s in np.unique(size):
+            at = np.flatnonzero(size == s)
+            yield node[at], part[at], n[at], data[(ends[at] - s)[:, None] + np.arange(s)]
+
+    def fold(x: np.ndarray, size: int) -> np.ndarray:
+        while x.shape[1] > size:
+            x = x[:, :x.shape[1] // 2] ^ x[:, x.shape[1] // 2:]
+        return np.ascontiguousarray(x).view(np.uint64)
+
+    def meet(batches):
+        for batch in batches:
+            for n1, b1, n2, b2 in zip(*(c.to_pylist() for c in batch.columns)):
+                for va, pa_, na, xa in sides(n1, b1):
+                    for vb, pb, nb, xb in sides(n2, b2):
+                        if 100 * min(na.max(), nb.max()) < percent * max(na.min(), nb.min()):
+                            continue
+                        size = min(xa.shape[1], xb.shape[1])
+                        fa, fb = fold(xa, size), fold(xb, size)
+                        step = max(1, (1 << 22) // (fb.size + 1))
+                        for s in range(0, len(va), step):
+                            p = slice(s, s + step)
+                            differ = np.bitwise_count(fa[p, None, :] ^ fb[None, :, :]).sum(2, dtype=np.int64)
+                            both = na[p, None] + nb[None, :]
+                            ok = ((pa_[p, None] != pb[None, :])
+                                  & (100 * np.minimum(na[p, None], nb) >= percent * np.maximum(na[p, None], nb))
+                                  & (100 * (both - differ) >= percent * (both + differ)))
+                            i, j = np.nonzero(ok)
+                            x, y = va[i + s], vb[j]
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    arrow_batches(spark, 64)
+    return work.repartition(max(2, 2 * spark.sparkContext.defaultParallelism)).mapInArrow(meet, "a long, b long")
+
+
 def join(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document in ``docs`` (doc_id, text)."""
     arrow_batches(spark)
@@ -322,17 +397,22 @@ def join(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = PE
     links = _verified(spark, docs, nodes, star, words, percent)
     parts = connected_components(spark, links, "jaccard_components")
 
-    # pairs of one signature in different components
+    # pairs of one signature in different components: rare ones by their short
+    # posting lists, combinations in blocks
     placed = (members.join(parts.toDF("node", "part"), "node", "left")
               .select("signature", "node", "n", "place", F.coalesce("part", "node").alias("part")))
     mixed = placed.groupBy("signature").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
         .where("low <> high").select("signature")
     open_ = materialize(placed.join(mixed, "signature", "left_semi"), spark, "jaccard_open")
-    rest = (open_.alias("x").join(open_.alias("y"), "signature")
+    few = open_.where("place is not null")
+    rest = (few.alias("x").join(few.alias("y"), "signature")
             .where("x.node < y.node and x.part <> y.part").where(fits("x", "y"))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    rest = (rest.union(_block_pairs(spark, open_.where("place is null"), nodes, percent)).distinct()
             .join(star, ["a", "b"], "left_anti"))
-    more = _verified(spark, docs, nodes, materialize(rest, spark, "jaccard_rest"), words, percent)
+    rest = materialize(rest, spark, "jaccard_rest")
+    arrow_batches(spark)
+    more = _verified(spark, docs, nodes, rest, words, percent)
     parts = connected_components(spark, links.union(more), "jaccard_components").toDF("node", "component")
 
     named = member.join(parts, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
