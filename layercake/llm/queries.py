@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layercake.llm import bpe, graph_search, html_text, jaccard_join, line_dedup, packing, token_files, toxicity, vector_dedup
+from layercake.llm import bpe, graph_search, html_text, jaccard_join, line_dedup, packing, span_dedup, token_files, toxicity, vector_dedup
 from layercake.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op1_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.digests(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write(spark, read(spark, sf_dir, "documents"), token_files.token_folder(spark),
                                  tokenizer_path(), end_id=2)
@@ -64,7 +68,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_graph_search, op3_token_files, op4_jaccard_join, op5_line_dedup, op6_packing, op7_bpe, op8_html,
+QUERIES = {f.__name__: f for f in (op1_graph_search, op2_span_dedup, op3_token_files, op4_jaccard_join, op5_line_dedup, op6_packing, op7_bpe, op8_html,
                                    op9_vector_dedup, op10_toxicity)}
 
 ORACLE_SQL = {
