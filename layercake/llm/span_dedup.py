@@ -11,8 +11,10 @@ with a smaller doc_id is removed; strings are judged on the input.
    corpus without losing a repeated string.
 3. Contexts.  A repeated anchor's context is its bytes and what is around it
    in any LENGTH-byte string that contains it.  Equal contexts are one, with
-   their first and last document.
-4. Suffix order.  Contexts that share an anchor meet in one shard.  There the
+   their first and last document.  A context that shares with no other one
+   the anchor and half of the rest on either side shares no string either, so
+   its own first document is that of all its strings.
+4. Suffix order.  The other contexts of an anchor meet in one shard.  There the
    collection's Burrows-Wheeler transform and common-prefix array are built
    column by column (Bauer, Cox, Rosone 2013; Cox et al. 2016): each round
    inserts the next symbol, from the right, of every context at the rank that
@@ -50,7 +52,7 @@ from layercake.llm.shingles import mix
 
 LENGTH = 50
 GRAM = 20
-SHARD_CONTEXTS = 16_000
+SHARD_CONTEXTS = 4_000
 BLOCK = 2 << 20
 FLUSH = 1 << 21
 BROADCAST_IDS = 1_000_000
@@ -123,27 +125,24 @@ def suffix_groups(contexts: list[bytes], length: int, folder: str) -> tuple[np.n
     owner = np.repeat(np.arange(m), sizes)
     from_right = np.repeat(np.cumsum(sizes), sizes) - 1 - np.arange(len(flat))
     columns[from_right, owner] = flat + 1
-    symbol_file, prefix_file = (os.path.join(folder, x) for x in ("symbols", "prefixes"))
-    columns[0].tofile(symbol_file)  # before the empty suffixes stands each context's last symbol
-    np.zeros(m, np.uint8).tofile(prefix_file)
+    symbol_file, prefix_file = _File(folder, "symbols"), _File(folder, "prefixes")
+    symbol_file.save(columns[0])  # before the empty suffixes stands each context's last symbol
+    prefix_file.save(np.zeros(m, np.uint8))
     active, place = np.arange(m), np.arange(m)
     for column in range(1, most + 1):
-        symbols, prefixes = np.fromfile(symbol_file, np.uint8), np.fromfile(prefix_file, np.uint8)
+        symbols, prefixes = symbol_file.load(), prefix_file.load()
         going = symbols[place] > 0
         active, place = active[going], place[going]
         if not len(active):
             break
-        order = np.argsort(symbols, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        ended = int((symbols == 0).sum())
-        r = rank[place]
-        left = order[np.maximum(r - 1, 0)]
-        has_left = (r - 1 >= ended) & (symbols[left] == symbols[place])
-        right = order[np.minimum(r + 1, len(order) - 1)]
-        has_right = (r + 1 < len(order)) & (symbols[right] == symbols[place])
+        order = np.argsort(symbols, kind="stable")  # places by symbol: what last-to-first mapping reads
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=256))])
+        ended, own = int(bounds[1]), symbols[place].astype(np.int64)
+        r = _ranks(order, bounds, own, place)
+        has_left, has_right = r > bounds[own], r + 1 < bounds[own + 1]
+        left, right = order[np.where(has_left, r - 1, r)], order[np.where(has_right, r + 1, r)]
         low = _range_minima(prefixes, np.where(has_left, left + 1, place), place)
-        high = _range_minima(prefixes, np.where(has_right, place + 1, place), np.where(has_right, right, place))
+        high = _range_minima(prefixes, np.where(has_right, place + 1, place), right)
         new = m + r - ended
         old = np.ones(len(symbols) + len(new), bool)
         old[new] = False
@@ -153,10 +152,12 @@ def suffix_groups(contexts: list[bytes], length: int, folder: str) -> tuple[np.n
         after = has_right.nonzero()[0]
         next_prefixes[new[after] + 1] = high[after] + 1
         next_prefixes[new] = np.where(has_left, low + 1, 0)
-        next_symbols.tofile(symbol_file)
-        next_prefixes.tofile(prefix_file)
+        symbol_file.save(next_symbols)
+        prefix_file.save(next_prefixes)
         place = new
-    symbols, prefixes = np.fromfile(symbol_file, np.uint8), np.fromfile(prefix_file, np.uint8)
+    symbols, prefixes = symbol_file.load(), prefix_file.load()
+    symbol_file.file.close()
+    prefix_file.file.close()
     group = np.cumsum(prefixes < length)
     # last-to-first mapping leads from each empty suffix to the longer ones
     order = np.argsort(symbols, kind="stable")
@@ -174,6 +175,33 @@ def suffix_groups(contexts: list[bytes], length: int, folder: str) -> tuple[np.n
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+class _File:
+    """A sequential file of bytes, read and written whole; it only grows, so
+    it is overwritten in place."""
+
+    def __init__(self, folder: str, name: str):
+        self.file = open(os.path.join(folder, name), "w+b", buffering=0)  # noqa: SIM115
+        self.size = 0
+
+    def save(self, values: np.ndarray) -> None:
+        self.file.seek(0)
+        self.file.write(memoryview(values))
+        self.size = len(values)
+
+    def load(self) -> np.ndarray:
+        values = np.empty(self.size, np.uint8)
+        self.file.seek(0)
+        self.file.readinto(memoryview(values))
+        return values
+
+
+def _ranks(order: np.ndarray, bounds: np.ndarray, symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Where in ``order``, which is sorted by symbol, then place, the places stand."""
+    n = len(order)
+    keys = order + np.repeat(np.arange(256) * n, np.diff(bounds))
+    return np.searchsorted(keys, symbols * n + place)
+
+
 def _range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Minimum of values[low..high], both included, for every pair."""
     level = np.log2(high - low + 1).astype(np.int64)
@@ -270,7 +298,7 @@ def _anchor_rows(docs: DataFrame, buckets: int, length: int, gram: int) -> DataF
 
 def _contexts(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """context (bytes), hash, gram, doc, key, start of every repeated anchor of ``docs`` (doc, key, text, grams)."""
-    names = ["hash", "gram", "context", "doc", "key", "start"]
+    names = ["hash", "gram", "context", "at", "doc", "key", "start"]
 
     def run(batches):
         for b in batches:
@@ -291,13 +319,30 @@ def _contexts(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         text = whole[start:p + length]
                         # equal bytes around an anchor elsewhere in them are another context
                         name = xxhash.xxh3_128_digest(text + bytes([p - start]))
-                        out.append((name, g if g < 1 << 63 else g - (1 << 64), text, ids[first + k], keys[first + k], start))
-                columns = list(zip(*out)) or [()] * 6
+                        out.append((name, g if g < 1 << 63 else g - (1 << 64), text, p - start, ids[first + k],
+                                    keys[first + k], start))
+                columns = list(zip(*out)) or [()] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
-                    pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()))], names)
+                    pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))], names)
 
     return docs.select("doc", "key", "text", "grams").mapInArrow(
-        run, "hash binary, gram long, context binary, doc long, key long, start int")
+        run, "hash binary, gram long, context binary, at int, doc long, key long, start int")
+
+
+def _meeting(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """hash of the contexts that may share a string with another one.
+
+    A string holds its anchor and half of the rest on one side at least, so
+    two contexts that share a string share the anchor with that many bytes
+    before it, or after it.  A context that shares neither with another is a
+    collection of its own: all its strings have its own first document."""
+    half = (length - gram) // 2
+    before = F.when(F.col("at") >= half, F.xxhash64(F.substring("context", F.col("at") - half + 1, F.lit(half + gram))))
+    after = F.when(F.octet_length("context") - F.col("at") >= half + gram,
+                   F.xxhash64(F.substring("context", F.col("at") + 1, F.lit(half + gram)), F.lit(1)))
+    sides = (contexts.select("hash", "gram", F.explode(F.array(before, after)).alias("side")).where("side is not null"))
+    twice = sides.groupBy("gram", "side").agg(F.count("*").alias("n")).where("n > 1")
+    return sides.join(twice, ["gram", "side"], "left_semi").select("hash").distinct()
 
 
 def _ordered(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -366,13 +411,20 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: i
 
     occurrences = _contexts(texts, length, gram)
     occurrences = materialize(occurrences, spark, "span_contexts")
-    contexts = occurrences.groupBy("hash").agg(F.first("gram").alias("gram"), F.first("context").alias("context"),
-                                               F.min("doc").alias("first"), F.max("doc").alias("last"))
+    contexts = occurrences.groupBy("hash").agg(
+        F.first("gram").alias("gram"), F.first("context").alias("context"), F.first("at").alias("at"),
+        F.min("doc").alias("first"), F.max("doc").alias("last"))
     contexts = materialize(contexts, spark, "span_distinct")
-    shards = int(max(1, -(-contexts.count() // SHARD_CONTEXTS)))
-    hot = contexts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_CONTEXTS) \
+    meeting = materialize(_meeting(contexts, length, gram), spark, "span_meeting")
+    alone = (contexts.where("first < last").join(meeting, "hash", "left_anti")
+             .select("hash", F.lit(0).alias("place"),
+                     (F.octet_length("context") - (length - 1)).alias("past"), "first"))
+    meeting = contexts.join(meeting.select("hash"), "hash", "left_semi")
+    hot = meeting.groupBy("gram").agg(F.count("*").alias("n"))
+    shards = int(max(1, -(-(meeting.count()) // SHARD_CONTEXTS)))
+    hot = hot.where(F.col("n") > SHARD_CONTEXTS) \
         .select("gram", F.ceil(F.col("n") / SHARD_CONTEXTS).cast("int").alias("shards"))
-    dealt = (contexts.join(hot, "gram", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+    dealt = (meeting.join(hot, "gram", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
              .withColumn("shard", F.pmod(F.xxhash64("gram") + F.when(F.col("shards") > 1, F.pmod(
                  F.xxhash64("hash"), "shards")).otherwise(0), F.lit(shards)))
              .select("shard", "shards", "hash", "context", "first", "last").repartition(shards, "shard"))
@@ -380,7 +432,8 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: i
     split = runs.where("string is not null")
     together = split.groupBy("string").agg(F.min("first").alias("first"))
     runs = (runs.where("string is null").select("hash", "place", "past", "first")
-            .union(split.drop("first").join(together, "string").select("hash", "place", "past", "first")))
+            .union(split.drop("first").join(together, "string").select("hash", "place", "past", "first"))
+            .union(alone))
     hits = (occurrences.select("hash", "doc", "key", "start").join(runs, "hash").where("doc > first")
             .groupBy("doc", "key").agg(F.array_sort(F.collect_set(F.struct(
                 (F.col("start") + F.col("place")).alias("s"), (F.col("start") + F.col("past") + (length - 1)).alias("e"))))
