@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from layercake.llm.common import arrow_batches, connected_components, materialize
 from layercake.llm.shingles import mix, shingle_sets
 
-CLASSES = 1 << 18
+CLASSES = 1 << 20
 LEAST_FREQUENT = 50
 CHUNK = 1 << 21  # tokens of a count chunk and of a posting flush
 BROADCAST_IDS = 1_000_000
