@@ -24,10 +24,11 @@ with a smaller doc_id is removed; strings are judged on the input.
    strings; the least document of a run is the first that holds the string.
 5. Each occurrence of a context in a later document removes those strings.
 
-An anchor may stand in a third of all documents with as many contexts.  Its
-contexts are then dealt to several shards by their hash; a shard tells the
-first document of each string it has seen, and these are brought together by a
-map-side combined minimum over the strings.
+An anchor may stand in a third of all documents with as many contexts.  Hot
+anchors (over HOT_DOCUMENTS documents and over one in HOT_ANCHORS of all
+anchors: a bounded list) go another way: their contexts are dealt to shards by
+their own hash; a shard tells the first document of each string it has seen,
+and these are brought together by a map-side combined minimum over strings.
 
 Defined results: a null or empty text has no bytes; texts shorter than LENGTH
 lose nothing; very long texts are whole; rows with equal doc_id are not
@@ -53,6 +54,8 @@ from layercake.llm.shingles import mix
 LENGTH = 50
 GRAM = 20
 SHARD_CONTEXTS = 4_000
+HOT_DOCUMENTS = 4_000  # of an anchor
+HOT_ANCHORS = 1 << 18
 BLOCK = 2 << 20
 FLUSH = 1 << 21
 BROADCAST_IDS = 1_000_000
@@ -216,47 +219,41 @@ def _range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     return out
 
 
-def _anchor_rows(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """Documents with the hashes of their repeated anchors: doc, key, grams
-    (several rows a document)."""
-    names = ["bucket", "doc", "key", "packed"]
+def _anchor_rows(docs: DataFrame, buckets: int, length: int, gram: int, limit: int) -> DataFrame:
+    """Documents with the hashes of their repeated anchors: doc, grams
+    (several rows a document); with doc null, anchors of over ``limit`` documents."""
+    names = ["bucket", "doc", "packed"]
 
     def run(batches):
         held, size = [], 0
 
         def flush():
-            gram_, doc, key = (np.concatenate(c) for c in zip(*held))
+            gram_, doc = (np.concatenate(c) for c in zip(*held))
             order = np.lexsort((doc, gram_))
-            gram_, doc, key = gram_[order], doc[order], key[order]
-            new = np.concatenate([[True], (gram_[1:] != gram_[:-1]) | (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
-            gram_, doc, key = gram_[new], doc[new], key[new]
-            head = np.concatenate([[True], gram_[1:] != gram_[:-1]])
-            heads = np.flatnonzero(head)
-            ends = np.append(heads[1:], len(gram_)) - 1
-            twice = doc[heads] != doc[ends]
+            gram_, doc = gram_[order], doc[order]
+            new = np.concatenate([[True], (gram_[1:] != gram_[:-1]) | (doc[1:] != doc[:-1])])
+            gram_, doc = gram_[new], doc[new]
+            heads = np.flatnonzero(np.concatenate([[True], gram_[1:] != gram_[:-1]]))
+            count = np.diff(np.append(heads, len(gram_)))
             # anchors of two documents here are repeated for sure: only that is
             # told on, so a bucket gets one entry of an anchor from each flush
-            known = np.repeat(twice, ends - heads + 1)
-            yield from _by_document(doc[known], key[known], gram_[known], -1)
-            single = heads
-            bucket = (gram_[single] >> np.uint64(24)) % np.uint64(buckets)
-            by = np.argsort(bucket.astype(np.int32), kind="stable")
-            single, done = single[by], twice[by]
-            cuts = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
+            known = np.repeat(count > 1, count)
+            yield from by_document(doc[known], gram_[known])
+            bucket = ((gram_[heads] >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
+            by = np.argsort(bucket, kind="stable")
+            heads, count = heads[by], count[by].astype(np.uint32)
+            cuts = np.cumsum(np.bincount(bucket, minlength=buckets))
             full = np.flatnonzero(np.diff(cuts, prepend=0))
             parts = [slice(int(cuts[k - 1]) if k else 0, int(cuts[k])) for k in full]
-            data = [gram_[single[p]].tobytes() + doc[single[p]].tobytes() + key[single[p]].tobytes()
-                    + done[p].astype(np.uint8).tobytes() for p in parts]
+            data = [gram_[heads[p]].tobytes() + doc[heads[p]].tobytes() + count[p].tobytes() for p in parts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), pa.nulls(len(full), pa.int64()), pa.nulls(len(full), pa.int64()),
-                 pa.array(data, pa.binary())], names)
+                [pa.array(full.astype(np.int32)), pa.nulls(len(full), pa.int64()), pa.array(data, pa.binary())], names)
 
         for b in batches:
-            ids, keys = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for first, data, offsets in _text_blocks(b.column(2)):
+            ids = b.column(0).to_numpy()
+            for first, data, offsets in _text_blocks(b.column(1)):
                 at, grams = anchors(data, offsets, length, gram)
-                row = first + np.searchsorted(offsets, at, "right") - 1
-                held.append((grams, ids[row], keys[row]))
+                held.append((grams, ids[first + np.searchsorted(offsets, at, "right") - 1]))
                 size += len(at)
                 if size > FLUSH:
                     yield from flush()
@@ -264,41 +261,47 @@ def _anchor_rows(docs: DataFrame, buckets: int, length: int, gram: int) -> DataF
         if size:
             yield from flush()
 
-    def _by_document(doc, key, grams, bucket):
-        if not len(doc):
-            return
-        order = np.lexsort((key, doc))
-        doc, key, grams = doc[order], key[order], grams[order]
-        heads = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]))
-        ends = np.append(heads[1:], len(doc))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((-1 - (doc[heads] % buckets)).astype(np.int32)), pa.array(doc[heads]), pa.array(key[heads]),
-             pa.array([grams[s:e].tobytes() for s, e in zip(heads, ends)], pa.binary())], names)
+    def by_document(doc, grams):
+        if len(doc):
+            order = np.argsort(doc, kind="stable")
+            doc, grams = doc[order], grams[order]
+            heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+            ends = np.append(heads[1:], len(doc))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((doc[heads] % buckets).astype(np.int32)), pa.array(doc[heads]),
+                 pa.array([grams[s:e].tobytes() for s, e in zip(heads, ends)], pa.binary())], names)
 
     def one(table: pa.Table) -> pa.Table:
         keep = table.column("doc").is_valid()
-        out = [table.filter(keep).select(["doc", "key", "packed"])]
+        out = [table.filter(keep).select(["doc", "packed"])]
         parts = [np.frombuffer(x, np.uint8) for x in table.filter(pa.compute.invert(keep)).column("packed").to_pylist()]
         if parts:
-            cut = lambda s, e, t: np.concatenate([p[len(p) // 25 * s:len(p) // 25 * e].copy().view(t) for p in parts])
-            gram_, doc, key, done = cut(0, 8, np.uint64), cut(8, 16, np.int64), cut(16, 24, np.int64), cut(24, 25, np.uint8)
+            gram_, doc, count = (np.concatenate([p[len(p) // 20 * s:len(p) // 20 * e].copy().view(t) for p in parts])
+                                 for s, e, t in ((0, 8, np.uint64), (8, 16, np.int64), (16, 20, np.uint32)))
             order = np.lexsort((doc, gram_))
-            gram_, doc, key, done = gram_[order], doc[order], key[order], done[order]
+            gram_, doc, count = gram_[order], doc[order], count[order].astype(np.int64)
             heads = np.flatnonzero(np.concatenate([[True], gram_[1:] != gram_[:-1]]))
             ends = np.append(heads[1:], len(gram_)) - 1
-            twice = (doc[heads] != doc[ends]) | (np.maximum.reduceat(done, heads) > 0)
-            tell = np.repeat(twice, ends - heads + 1) & (done == 0)
-            for b in _by_document(doc[tell], key[tell], gram_[tell], 0):
-                out.append(pa.Table.from_batches([b]).select(["doc", "key", "packed"]))
-        return pa.concat_tables(out).rename_columns(["doc", "key", "grams"])
+            total = np.add.reduceat(count, heads)
+            twice = (doc[heads] != doc[ends]) | (np.maximum.reduceat(count, heads) > 1)
+            tell = np.repeat(twice, ends - heads + 1) & (count == 1)
+            out += [pa.Table.from_batches([b]).select(["doc", "packed"]) for b in by_document(doc[tell], gram_[tell])]
+            if (total > limit).any():
+                out.append(pa.table({"doc": pa.nulls(1, pa.int64()),
+                                     "packed": pa.array([gram_[heads[total > limit]].tobytes()], pa.binary())}))
+        return pa.concat_tables(out).rename_columns(["doc", "grams"])
+
+    return (docs.select("doc", "text").mapInArrow(run, "bucket int, doc long, packed binary")
+            .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(one, "doc long, grams binary"))
+
 
-    return (docs.select("doc", "key", "text").mapInArrow(run, "bucket int, doc long, key long, packed binary")
-            .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(one, "doc long, key long, grams binary"))
+CONTEXT = "hash binary, gram long, context binary, at int, doc long, key long, start int"
 
 
-def _contexts(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """context (bytes), hash, gram, doc, key, start of every repeated anchor of ``docs`` (doc, key, text, grams)."""
-    names = ["hash", "gram", "context", "at", "doc", "key", "start"]
+def _contexts(docs: DataFrame, length: int, gram: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """CONTEXT of every repeated anchor of ``docs`` (doc, key, text, grams),
+    with bucket: by anchor, or below zero for ``hot`` anchors."""
+    names = ["hash", "gram", "context", "at", "doc", "key", "start", "bucket"]
 
     def run(batches):
         for b in batches:
@@ -312,21 +315,107 @@ def _contexts(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 for k in range(len(offsets) - 1):
                     mine = slice(cuts[k], cuts[k + 1])
                     take = np.isin(found[mine], grams[first + k])
+                    often = np.isin(found[mine][take], hot).tolist()
                     s, e = int(offsets[k]), int(offsets[k + 1])
                     whole = data[s:e].tobytes()
-                    for p, g in zip((at[mine][take] - s).tolist(), found[mine][take].tolist()):
+                    for p, g, spread in zip((at[mine][take] - s).tolist(), found[mine][take].tolist(), often):
                         start = max(0, p - (length - gram))
                         text = whole[start:p + length]
                         # equal bytes around an anchor elsewhere in them are another context
                         name = xxhash.xxh3_128_digest(text + bytes([p - start]))
                         out.append((name, g if g < 1 << 63 else g - (1 << 64), text, p - start, ids[first + k],
-                                    keys[first + k], start))
-                columns = list(zip(*out)) or [()] * 7
+                                    keys[first + k], start, -1 - (start + s) % buckets if spread else g % buckets))
+                columns = list(zip(*out)) or [()] * 8
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
-                    pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))], names)
+                    pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names)
 
-    return docs.select("doc", "key", "text", "grams").mapInArrow(
-        run, "hash binary, gram long, context binary, at int, doc long, key long, start int")
+    return docs.select("doc", "key", "text", "grams").mapInArrow(run, CONTEXT + ", bucket int")
+
+
+def _meet_in_bucket(length: int, gram: int):
+    """All contexts of some anchors: the places they remove (doc, key, s, e);
+    contexts of hot anchors pass through."""
+    half = (length - gram) // 2
+
+    def one(table: pa.Table) -> pa.Table:
+        spread = pa.compute.less(table.column("bucket"), 0)
+        passing = table.filter(spread).drop_columns(["bucket"])
+        passing = passing.append_column("s", pa.nulls(len(passing), pa.int64())).append_column(
+            "e", pa.nulls(len(passing), pa.int64()))
+        table = table.filter(pa.compute.invert(spread))
+        if not len(table):
+            return passing
+        names, which = {}, np.empty(len(table), np.int64)  # which context each occurrence has
+        for i, h in enumerate(table.column("hash").to_pylist()):
+            which[i] = names.setdefault(h, len(names))
+        doc, key, start = (table.column(c).to_numpy() for c in ("doc", "key", "start"))
+        m = len(names)
+        one_of = np.empty(m, np.int64)
+        one_of[which] = np.arange(len(which))
+        first, last = np.full(m, np.iinfo(np.int64).max), np.full(m, np.iinfo(np.int64).min)
+        np.minimum.at(first, which, doc)
+        np.maximum.at(last, which, doc)
+        distinct = table.take(pa.array(one_of))
+        texts, grams, places = (distinct.column(c).to_pylist() for c in ("context", "gram", "at"))
+        sides: dict = {}
+        for i, (t, g, p) in enumerate(zip(texts, grams, places)):
+            if p >= half:
+                sides.setdefault((g, 0, t[p - half:p + gram]), []).append(i)
+            if len(t) - p >= half + gram:
+                sides.setdefault((g, 1, t[p:p + half + gram]), []).append(i)
+        meeting = np.unique([i for group in sides.values() if len(group) > 1 for i in group]).astype(np.int64)
+        alone = np.ones(m, bool)
+        alone[meeting] = False
+        alone = np.flatnonzero(alone & (first < last))
+        sizes = np.array([len(t) for t in texts], np.int64)
+        with tempfile.TemporaryDirectory(prefix="suffixes-") as folder:
+            who, place, group = suffix_groups([texts[i] for i in meeting], length, folder)
+        who = meeting[who]
+        runs = _runs(who, place, _least(group, first[who]), last)
+        runs = [np.concatenate(x) for x in zip(runs, (alone, np.zeros(len(alone), np.int64), sizes[alone] - length + 1,
+                                                      first[alone]))]
+        # every occurrence of a run's context in a later document
+        order = np.argsort(which, kind="stable")
+        bounds = np.searchsorted(which[order], np.arange(m + 1))
+        count = bounds[runs[0] + 1] - bounds[runs[0]]
+        run = np.repeat(np.arange(len(count)), count)
+        at = order[np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count) + bounds[runs[0]][run]]
+        later = doc[at] > runs[3][run]
+        at, run = at[later], run[later]
+        n = len(at)
+        hits = pa.table({"doc": doc[at], "key": key[at], "s": start[at] + runs[1][run],
+                         "e": start[at] + runs[2][run] + length - 1})
+        blank = [("hash", pa.binary()), ("gram", pa.int64()), ("context", pa.binary()), ("at", pa.int32()),
+                 ("start", pa.int32())]
+        for name, kind in blank:
+            hits = hits.append_column(name, pa.nulls(n, kind))
+        return pa.concat_tables([passing, hits.select(passing.column_names)])
+
+    return one
+
+
+def _least(group: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The least value of each row's group."""
+    if not len(group):
+        return values
+    low = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(low, group, values)
+    return low[group]
+
+
+def _runs(who: np.ndarray, place: np.ndarray, low: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """Contexts, places [place, past) and first documents of the runs of
+    places with one first document, where a later document has the context."""
+    take = low < last[who]
+    who, place, low = who[take], place[take], low[take]
+    order = np.lexsort((place, who))
+    who, place, low = who[order], place[order], low[order]
+    if not len(who):
+        return [who, place, place, low]
+    new = np.concatenate([[True], (who[1:] != who[:-1]) | (low[1:] != low[:-1]) | (place[1:] != place[:-1] + 1)])
+    heads = np.flatnonzero(new)
+    ends = np.append(heads[1:], len(who)) - 1
+    return [who[heads], place[heads], place[ends] + 1, low[heads]]
 
 
 def _meeting(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -345,42 +434,36 @@ def _meeting(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     return sides.join(twice, ["gram", "side"], "left_semi").select("hash").distinct()
 
 
-def _ordered(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """hash, place, past, first, string: places [place, past) of a context
-    whose strings first occur in document ``first``; for anchors of several
-    shards single places, with the string's hash to bring shards together."""
+def _hot_hits(spark: SparkSession, occurrences: DataFrame, length: int, gram: int) -> DataFrame:
+    """doc, key, s, e of what the contexts of hot anchors remove."""
+    contexts = materialize(occurrences.groupBy("hash").agg(
+        F.first("gram").alias("gram"), F.first("context").alias("context"), F.first("at").alias("at"),
+        F.min("doc").alias("first"), F.max("doc").alias("last")), spark, "span_distinct")
+    meeting = materialize(_meeting(contexts, length, gram), spark, "span_meeting")
+    alone = (contexts.where("first < last").join(meeting, "hash", "left_anti")
+             .select("hash", F.lit(0).alias("place"), (F.octet_length("context") - (length - 1)).alias("past"), "first"))
+    shards = int(max(1, -(-meeting.count() // SHARD_CONTEXTS)))
+
     def one(table: pa.Table) -> pa.Table:
-        texts = table.column("context").to_pylist()
-        first, last = table.column("first").to_numpy(), table.column("last").to_numpy()
-        spread = table.column("shards").to_numpy() > 1
+        texts, hashes = table.column("context").to_pylist(), table.column("hash").to_pylist()
         with tempfile.TemporaryDirectory(prefix="suffixes-") as folder:
             who, place, group = suffix_groups(texts, length, folder)
-        order = np.argsort(group, kind="stable")
-        who, place, group = who[order], place[order], group[order]
-        heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.empty(0, np.int64)
-        lows = np.minimum.reduceat(first[who], heads) if len(heads) else np.empty(0, np.int64)
-        low = np.repeat(lows, np.diff(np.append(heads, len(group))))
-        # runs of places with one first document, where a later document has the context
-        take = ~spread[who] & (low < last[who])
-        w, p, f = who[take], place[take], low[take]
-        order = np.lexsort((p, w))
-        w, p, f = w[order], p[order], f[order]
-        new = np.concatenate([[True], (w[1:] != w[:-1]) | (f[1:] != f[:-1]) | (p[1:] != p[:-1] + 1)]) if len(w) \
-            else np.empty(0, bool)
-        heads = np.flatnonzero(new)
-        past = p[np.append(heads[1:], len(p)) - 1] + 1 if len(heads) else p
-        hashes = table.column("hash").to_pylist()
-        rows = [(hashes[a], b, c, d, None) for a, b, c, d in zip(w[heads].tolist(), p[heads].tolist(), past.tolist(),
-                                                                 f[heads].tolist())]
-        for a, b, d in zip(who[spread[who]].tolist(), place[spread[who]].tolist(), low[spread[who]].tolist()):
-            rows.append((hashes[a], b, b + 1, d, xxhash.xxh3_128_digest(texts[a][b:b + length])))
-        columns = list(zip(*rows)) or [()] * 5
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(
-            ("hash", "place", "past", "first", "string"), columns,
-            (pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))})
-
-    return contexts.groupBy("shard").applyInArrow(
-        one, "hash binary, place int, past int, first long, string binary")
+        low = _least(group, table.column("first").to_numpy()[who])
+        return pa.table({
+            "hash": pa.array([hashes[i] for i in who], pa.binary()), "place": pa.array(place.astype(np.int32)),
+            "first": pa.array(low, pa.int64()),
+            "string": pa.array([xxhash.xxh3_128_digest(texts[i][p:p + length]) for i, p in zip(who, place)], pa.binary())})
+
+    seen = materialize(
+        contexts.join(meeting, "hash", "left_semi").withColumn("shard", F.pmod(F.xxhash64("hash"), F.lit(shards)))
+        .select("shard", "hash", "context", "first").repartition(shards, "shard").groupBy("shard")
+        .applyInArrow(one, "hash binary, place int, first long, string binary"), spark, "span_strings")
+    together = seen.groupBy("string").agg(F.min("first").alias("first"))
+    runs = (seen.drop("first").join(together, "string")
+            .select("hash", "place", (F.col("place") + 1).alias("past"), "first").union(alone))
+    return (occurrences.select("hash", "doc", "key", "start").join(runs, "hash").where("doc > first")
+            .select("doc", "key", (F.col("start") + F.col("place")).cast("long").alias("s"),
+                    (F.col("start") + F.col("past") + (length - 1)).cast("long").alias("e")))
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -388,7 +471,8 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
-def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
+             hot_documents: int = HOT_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """For ``docs`` (doc_id, text): later copies (doc, key) of equal texts of
     at least ``length`` bytes, and (doc, key, text, spans) of the other
     documents that lose bytes, spans being [start, end) in order, apart."""
@@ -402,45 +486,25 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: i
     own = base.join(_few(copies), ["doc", "key"], "left_anti")
 
     total = named.agg(F.sum("size")).first()[0] or 0
-    buckets = int(max(32, -(-total // (12 << 20))))
-    found = materialize(_anchor_rows(own, buckets, length, gram), spark, "span_anchors")
-    grams = found.groupBy("doc", "key").agg(F.collect_list("grams").alias("grams"))
+    # at most this share of all anchors can be hot, so their list may go to every task
+    limit = int(max(hot_documents, total / 16 / HOT_ANCHORS))
+    found = materialize(_anchor_rows(own, int(max(32, -(-total // (12 << 20)))), length, gram, limit), spark, "span_anchors")
+    hot = np.sort(np.concatenate([np.empty(0, np.uint64)] + [
+        np.frombuffer(r[0], np.uint64) for r in found.where("doc is null").select("grams").collect()]))
+    grams = found.where("doc is not null").groupBy("doc").agg(F.collect_list("grams").alias("grams"))
+    buckets = int(max(32, -(-total // (1 << 20))))
+    rows = (_contexts(own.join(grams, "doc"), length, gram, buckets, hot)
+            .repartition(buckets, "bucket").groupBy("bucket")
+            .applyInArrow(_meet_in_bucket(length, gram), CONTEXT + ", s long, e long"))
+    rows = materialize(rows, spark, "span_hits")
+    hits = rows.where("hash is null").select("doc", "key", "s", "e")
+    if len(hot):
+        hits = hits.union(_hot_hits(spark, rows.where("hash is not null"), length, gram))
+    joined = materialize(_joined_spans(hits.groupBy("doc", "key").agg(
+        F.array_sort(F.collect_set(F.struct("s", "e"))).alias("hits"))), spark, "span_joined")
     # of rows that are equal in doc_id and text one is enough
-    texts = own.join(_few(materialize(grams, spark, "span_grams")), ["doc", "key"])
-    texts = materialize(texts.select("doc", "key", "text", "grams"), spark, "span_texts")
-
-    occurrences = _contexts(texts, length, gram)
-    occurrences = materialize(occurrences, spark, "span_contexts")
-    contexts = occurrences.groupBy("hash").agg(
-        F.first("gram").alias("gram"), F.first("context").alias("context"), F.first("at").alias("at"),
-        F.min("doc").alias("first"), F.max("doc").alias("last"))
-    contexts = materialize(contexts, spark, "span_distinct")
-    meeting = materialize(_meeting(contexts, length, gram), spark, "span_meeting")
-    alone = (contexts.where("first < last").join(meeting, "hash", "left_anti")
-             .select("hash", F.lit(0).alias("place"),
-                     (F.octet_length("context") - (length - 1)).alias("past"), "first"))
-    meeting = contexts.join(meeting.select("hash"), "hash", "left_semi")
-    hot = meeting.groupBy("gram").agg(F.count("*").alias("n"))
-    shards = int(max(1, -(-(meeting.count()) // SHARD_CONTEXTS)))
-    hot = hot.where(F.col("n") > SHARD_CONTEXTS) \
-        .select("gram", F.ceil(F.col("n") / SHARD_CONTEXTS).cast("int").alias("shards"))
-    dealt = (meeting.join(hot, "gram", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
-             .withColumn("shard", F.pmod(F.xxhash64("gram") + F.when(F.col("shards") > 1, F.pmod(
-                 F.xxhash64("hash"), "shards")).otherwise(0), F.lit(shards)))
-             .select("shard", "shards", "hash", "context", "first", "last").repartition(shards, "shard"))
-    runs = materialize(_ordered(dealt, length, gram), spark, "span_runs")
-    split = runs.where("string is not null")
-    together = split.groupBy("string").agg(F.min("first").alias("first"))
-    runs = (runs.where("string is null").select("hash", "place", "past", "first")
-            .union(split.drop("first").join(together, "string").select("hash", "place", "past", "first"))
-            .union(alone))
-    hits = (occurrences.select("hash", "doc", "key", "start").join(runs, "hash").where("doc > first")
-            .groupBy("doc", "key").agg(F.array_sort(F.collect_set(F.struct(
-                (F.col("start") + F.col("place")).alias("s"), (F.col("start") + F.col("past") + (length - 1)).alias("e"))))
-                .alias("hits")))
-    joined = _joined_spans(hits)
-    cut = texts.select("doc", "key", "text").dropDuplicates(["doc", "key"]).join(joined, ["doc", "key"])
-    return copies, cut
+    lost = base.join(_few(joined.select("doc", "key")), ["doc", "key"], "left_semi").dropDuplicates(["doc", "key"])
+    return copies, lost.join(joined, ["doc", "key"])
 
 
 def _joined_spans(hits: DataFrame) -> DataFrame:
