@@ -54,7 +54,7 @@ from layercake.llm.shingles import mix
 LENGTH = 50
 GRAM = 20
 SHARD_CONTEXTS = 4_000
-HOT_DOCUMENTS = 4_000  # of an anchor
+HOT_DOCUMENTS = 20_000  # of an anchor: below, its contexts fit one task
 HOT_ANCHORS = 1 << 18
 BLOCK = 2 << 20
 FLUSH = 1 << 21
