@@ -10,7 +10,6 @@ sources    Declared schemas, the CSV ingest with quarantine and audit, the
            catalog helpers and the test-table adapter.
 plans      The concrete layer plans: silver cleansing, gold star schema,
            analyses and reports, plus the layer runners.
-streaming  Intentionally empty: the modelled warehouse is batch full-load only.
 """
 
 __version__ = "0.1.0"

@@ -46,18 +46,12 @@ def split_key(df: DataFrame, col: str, prefix_out: str, rest_out: str,
 
 
 def scd2_end_date(df: DataFrame, key: str, start: str, out: str,
-                  tie_breakers: Sequence[str] = (), skew_safe: bool = True) -> DataFrame:
+                  tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Version end date: the next version's start minus one day, per key.
 
-    The current version gets NULL.  With ``skew_safe`` the successor comes
-    from ``lead_within`` (a key with very many versions is split across
-    tasks); otherwise a plain ``lead`` over ``partitionBy(key)``."""
-    order = [start, *tie_breakers]
-    if skew_safe:
-        df = lead_within(df, key, order, start, "_next_start")
-    else:
-        w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        df = df.withColumn("_next_start", F.lead(F.col(start)).over(w))
+    The current version gets NULL.  The successor comes from ``lead_within``,
+    so a key with very many versions is split across tasks."""
+    df = lead_within(df, key, [start, *tie_breakers], start, "_next_start")
     return df.withColumn(out, F.date_sub(F.to_date("_next_start"), 1)).drop("_next_start")
 
 

@@ -136,14 +136,14 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
                           int((end - start).total_seconds()), end)
         except Exception as e:  # noqa: BLE001 - failure isolation
             cond = getattr(e, "getCondition", lambda: None)() or type(e).__name__
-            return "err", (procedure, name, str(e)[:2000], cond, start, dt.datetime.now())
+            return "err", (procedure, name, str(e), cond, start, dt.datetime.now())
 
     outcomes = run_concurrently(reload, silver.SILVER_ORDER, parallel)
     ok = [row for kind, row in outcomes if kind == "ok"]
     err = [row for kind, row in outcomes if kind == "err"]
     append(spark, ok, schemas.SILVER_SUCCESS_LOG, f"{layers.silver}.data_load_success_logs")
-    if err:
-        append(spark, err, schemas.SILVER_ERROR_LOG, f"{layers.silver}.data_load_error_logs")
+    # also without an error: the log is there to be queried
+    append(spark, err, schemas.SILVER_ERROR_LOG, f"{layers.silver}.data_load_error_logs")
     return SilverRun(ok, err, (dt.datetime.now() - proc_start).total_seconds())
 
 

@@ -24,6 +24,8 @@ _SQL_CONF = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # round-robin repartition must give the same rows per task on retry
     "spark.sql.execution.sortBeforeRepartition": "true",
+    # good and quarantined rows go to two open files, without a sort by the flag
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 
@@ -107,20 +109,6 @@ def materialize(df, spark: SparkSession, name: str):
     return spark.read.parquet(path)
 
 
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a source that arrives in too few input splits (e.g. one large
-    Parquet row group) over the cluster's cores.
-
-    A no-op whenever the scan already has at least ``min_partitions`` splits
-    (default: ``spark.default.parallelism``) - the normal case for large,
-    multi-file tables - so it never adds a shuffle at scale."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def run_concurrently(fn, items, parallel: bool = True, max_workers: int = 6) -> list:
     """Apply ``fn`` to independent items.  With ``parallel`` the Spark jobs
     are submitted from a few driver threads, so small independent tables

@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layercake.session import ensure_parallelism
 from layercake.sources.testdata import TestTables
 
 
@@ -102,8 +101,8 @@ def crm_prd_info(t: TestTables) -> DataFrame:
 
 
 def crm_sales_details(t: TestTables) -> DataFrame:
-    li = ensure_parallelism(t.lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))
+    li = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")

@@ -32,6 +32,15 @@ def create_namespaces(spark: SparkSession, layers: Layers = Layers()) -> None:
 
 
 def _register(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+    """Point table ``name`` at ``path``.  An existing table of the same columns
+    is repointed, so that it never goes missing; only another schema needs a
+    new table."""
+    plain = [(f.name.lower(), f.dataType) for f in schema.fields]
+    if spark.catalog.tableExists(name) and [
+            (f.name.lower(), f.dataType) for f in spark.table(name).schema.fields] == plain:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+        return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
 

@@ -25,7 +25,7 @@ from layercake.sources.catalog import publish_path
 from layercake.session import path_exists, run_dir
 
 CORRUPT = "_corrupt_record"
-DEFAULT_MAX_ERRORS = 10  # the bulk loader's default tolerance
+DEFAULT_MAX_ERRORS = None  # no threshold: good rows load, bad ones are quarantined
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -113,21 +113,21 @@ def ingest(spark: SparkSession, spec: LoadSpec, target: str,
         m = obs.get
         res.rows_read, res.rows_rejected = int(m["rows_read"]), int(m["rejected"])
         res.rows_loaded = res.rows_read - res.rows_rejected
-        if max_errors is not None and res.rows_rejected > max_errors:
-            res.status = "rejected"
-            res.message = (f"{res.rows_rejected} rows could not be parsed "
-                           f"(more than {max_errors}); table left unchanged")
-            return res
         # an empty split writes no folder; a table over a missing location
         # reads as empty with its declared schema, so no placeholder write
         good, bad = f"{version}/quarantined=false", f"{version}/quarantined=true"
         bad_schema = T.StructType(list(spec.schema.fields) +
                                   [T.StructField(CORRUPT, T.StringType(), True)])
-        publish_path(spark, target, good, spec.schema)
         publish_path(spark, f"{target}_quarantine", bad, bad_schema)
+        if max_errors is not None and res.rows_rejected > max_errors:
+            res.status = "rejected"
+            res.message = (f"{res.rows_rejected} rows could not be parsed "
+                           f"(more than {max_errors}); table left unchanged")
+            return res
+        publish_path(spark, target, good, spec.schema)
         res.status = "loaded"
     except Exception as e:  # noqa: BLE001 - failure isolation: log and continue
-        res.status, res.message = "failed", f"{_condition(e)}: {e}"[:2000]
+        res.status, res.message = "failed", f"{_condition(e)}: {e}"
     finally:
         res.seconds = (dt.datetime.now() - t0).total_seconds()
     return res

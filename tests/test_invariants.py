@@ -111,13 +111,3 @@ def test_current_product_numbers_unique(spark, wh):
     # duplicates would fan facts out (same product under two category prefixes)
     d = wh.dim_products
     assert d.count() == d.select("product_number").distinct().count()
-
-
-def test_parallelism_guard_only_for_coarse_inputs(spark):
-    from layercake.session import ensure_parallelism
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert ensure_parallelism(wide, 8) is wide          # enough splits: untouched
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread = ensure_parallelism(narrow, 8)
-    assert spread.rdd.getNumPartitions() == 8
-    assert spread.count() == 1000
