@@ -252,11 +252,11 @@ def _results_frame(spark, results):
 
 def quarantine_counts(spark, d):
     """Bronze load of the six extracts, the sales one with malformed lines:
-    rows read / loaded / rejected per table; more than 10 rejects blocks the
-    table (the previous version stays)."""
+    rows read / loaded / rejected per table; with a threshold of 10 rejects given,
+    more block the table (the previous version stays)."""
     base = runners.stage_extracts(spark, d, dirty_sales=True)
     return _results_frame(spark, runners.run_bronze(spark, runners.manifest(base),
-                                                     Layers("qc_bronze", "qc_silver", "qc_gold")))
+                                                     Layers("qc_bronze", "qc_silver", "qc_gold"), max_errors=10))
 
 
 def load_audit(spark, d):
