@@ -51,7 +51,8 @@ from layercake.llm.shingles import mix, shingle_sets
 
 CLASSES = 1 << 20
 LEAST_FREQUENT = 50
-CHUNK = 1 << 21  # tokens of a count chunk and of a posting flush
+CHUNK = 1 << 21  # tokens of a count chunk
+FLUSH = 1 << 20  # postings packed at a time
 BROADCAST_IDS = 1_000_000
 PERCENT = 75
 
@@ -163,10 +164,11 @@ def _postings(docs: DataFrame, words: int, frequent: np.ndarray, buckets: int, p
 
         def packed():
             sig, doc, n, place = (np.concatenate(c) for c in zip(*held))
-            bucket = (sig >> np.uint64(24)) % np.uint64(buckets)
-            order = np.argsort(bucket.astype(np.int32), kind="stable")
+            held.clear()
+            bucket = ((sig >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
             sig, doc, n, place = sig[order], doc[order], n[order], place[order]
-            ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
+            ends = np.cumsum(np.bincount(bucket, minlength=buckets))
             full = np.flatnonzero(np.diff(ends, prepend=0))
             parts = [slice(int(ends[k - 1]) if k else 0, int(ends[k])) for k in full]
             # one column after the other: equal and near numbers side by side compress well
@@ -196,7 +198,7 @@ def _postings(docs: DataFrame, words: int, frequent: np.ndarray, buckets: int, p
                         [pa.array(np.full(k, -1, np.int32)), pa.array(pairs.view(np.int64)),
                          pa.array(np.full(k, ids[row], np.int64)), pa.array(np.full(k, len(tokens), np.int32)),
                          pa.nulls(k, pa.binary())], names)
-                if size > CHUNK:
+                if size > FLUSH:
                     yield packed()
                     held, size, seen = [], 0, set()
         if held:

@@ -38,15 +38,18 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(begin)
     if not len(starts):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    at = np.arange(len(low))
-    place = at - np.maximum.accumulate(np.where(begin, at, 0))
+    at = np.arange(len(low), dtype=np.int32)  # a text is below 2 GB
+    place = np.where(begin, at, np.int32(0))
+    np.maximum.accumulate(place, out=place)
+    np.subtract(at, place, out=place)
     table = powers(_POWER, int(place.max()) + 1)
-    value = (low.astype(np.uint64) + np.uint64(1)) * table[place]
+    value = table[place]
+    value *= low.astype(np.uint16) + np.uint16(1)
     value[space] = 0
     return mix(np.add.reduceat(value, starts)), np.searchsorted(offsets, starts, "right") - 1
 
 
-def shingle_sets(texts: pa.Array, words: int = 5, block: int = 4 << 20):
+def shingle_sets(texts: pa.Array, words: int = 5, block: int = 1 << 20):
     """(text number, sorted distinct shingle hashes) of every text; a text of
     fewer words is one shingle, one without words has none."""
     data, offsets = text_buffer(texts)
