@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layercake.functions.exprs import ci_key, code_map, int_date_rejected, int_to_date
 from layercake.operators.cleanse import (
@@ -23,7 +24,7 @@ from layercake.plans import runners
 from layercake.session import run_dir
 from layercake.sources import adapter, schemas
 from layercake.sources.catalog import Layers
-from layercake.sources.csv_ingest import CORRUPT, read_extract, write_extract
+from layercake.sources.csv_ingest import CORRUPT, read_extract, write_extract, write_lines
 from layercake.sources.testdata import TestTables
 
 AS_OF = DEFAULT_AS_OF
@@ -240,6 +241,21 @@ def csv_roundtrip(spark, d):
     return back.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
+def csv_text_forms(spark, d):
+    """Orders as text lines with padded numbers and dates in every accepted form, read back typed."""
+    o, k = TestTables(spark, d).orders, F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    form = F.when(k % 3 == 0, day).when(k % 3 == 1, F.concat(day, F.lit(" 06:07:08"))) \
+        .otherwise(F.concat(F.lit(" "), day, F.lit("T06:07:08.250 ")))
+    lines = o.select(F.concat_ws(",", F.concat(F.lit(" "), k.cast("string")), form, form,
+                                 F.concat(F.col("o_custkey").cast("string"), F.lit("  "))).alias("line"))
+    path = write_lines(lines, "order_id,order_time,order_day,customer_id", run_dir(spark, "text_forms") + "/orders.csv")
+    schema = T.StructType.fromDDL("order_id long, order_time timestamp_ntz, order_day date, customer_id long")
+    return read_extract(spark, path, schema).select(
+        "order_id", F.date_format("order_time", "yyyy-MM-dd HH:mm:ss.SSS").alias("order_time"), "order_day",
+        "customer_id", F.col(CORRUPT).isNotNull().alias("rejected"))
+
+
 def _results_frame(spark, results):
     rows = [(r.table, r.status, r.rows_read if r.status in ("loaded", "rejected") else None,
              r.rows_loaded if r.status == "loaded" else None,
@@ -297,5 +313,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     fact_sales, yearly_trend, monthly_trend, cumulative_as_written, cumulative_intended,
     product_performance_yoy, part_to_whole, segment_counts, customer_spending,
     customers_report, products_report, products_report_by_product,
-    csv_roundtrip, quarantine_counts, load_audit, layer_rebuild,
+    csv_roundtrip, csv_text_forms, quarantine_counts, load_audit, layer_rebuild,
 ]}

@@ -43,8 +43,9 @@ def _days_after(day: str, n: Column) -> Column:
 def crm_cust_info(t: TestTables) -> DataFrame:
     c = t.customer
     k = F.col("c_custkey")
-    main = c.filter(k % 97 != 5).select(
-        k.cast("int").alias("cst_id"),
+    main = c.select(
+        # some customers carry an id that no sale uses
+        F.when(k % 97 == 5, -k).otherwise(k).cast("int").alias("cst_id"),
         _aw_key(k).alias("cst_key"),
         F.concat(F.lit(" "), "c_mktsegment", F.lit(" ")).alias("cst_firstname"),
         F.when(k % 50 == 3, F.lit(None)).otherwise(F.concat("c_name", F.lit("  ")))
@@ -130,9 +131,10 @@ def crm_sales_details(t: TestTables) -> DataFrame:
 def erp_cust_az12(t: TestTables) -> DataFrame:
     c = t.customer
     k = F.col("c_custkey")
-    return c.filter(k % 19 != 4).select(
-        F.when(k % 2 == 0, F.concat(F.lit("NAS"), _aw_key(k))).otherwise(_aw_key(k))
-        .alias("cid"),
+    # some customers carry an ERP id that no CRM row uses
+    cid = F.when(k % 19 == 4, F.format_string("EX%08d", k)).otherwise(_aw_key(k))
+    return c.select(
+        F.when(k % 2 == 0, F.concat(F.lit("NAS"), cid)).otherwise(cid).alias("cid"),
         F.when(k % 31 == 0, F.lit("2050-01-01").cast("date"))
         .when(k % 31 == 1, F.lit("1900-05-05").cast("date"))
         .when(k % 31 == 2, F.lit(None).cast("date"))

@@ -2,8 +2,13 @@
 
 * header row skipped, comma-separated, no quoting (a '"' is data), empty
   field -> NULL, columns mapped by position to the declared schema;
+* numbers and dates may be padded with spaces; dates and datetimes are
+  ``yyyy-MM-dd``, optionally followed by a space or T and ``HH:mm:ss``, with
+  up to six digits of a second (a date column takes the date part);
 * rows that do not fit the schema (unparsable value, too few or too many
-  fields) are kept apart with their raw text instead of being half-loaded;
+  fields) are kept apart with their raw text instead of being half-loaded.
+  A line is read as one string and typed by expressions, so whether it fits
+  does not depend on the columns or rows that a query asks for;
 * one pass: parsed rows are written once, split by a ``quarantined`` flag
   into two folders, while an ``Observation`` counts read / rejected rows
   during that same write;
@@ -17,7 +22,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +42,15 @@ CSV_OPTIONS = {
     "dateFormat": "yyyy-MM-dd",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
 }
+# a line is read as one column, cut at what no text holds
+LINE_OPTIONS = {
+    "header": "true",
+    "sep": "\u0001\u0002\u0001",
+    "quote": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+DATE_TEXT = r"^ *\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)? *$"
 
 
 @dataclass(frozen=True)
@@ -71,12 +85,24 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     """Typed, positional read; bad rows carry their raw line in ``_corrupt_record``.
 
     Raises ``AnalysisException`` (condition PATH_NOT_FOUND) for a missing path."""
-    st = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    r = spark.read.schema(st).option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", CORRUPT)
-    for k, v in CSV_OPTIONS.items():
-        r = r.option(k, v)
-    return r.csv(path)
+    lines = spark.read.schema("line string").options(**LINE_OPTIONS).csv(path)
+    parts = lines.select("line", F.split("line", ",", -1).alias("parts"))
+    texts = [F.nullif(F.get("parts", F.lit(i)), F.lit("")) for i in range(len(schema))]
+    values = [_typed(text, f.dataType) for text, f in zip(texts, schema.fields)]
+    fits = F.size("parts") == len(schema)
+    for text, value in zip(texts, values):
+        fits = fits & (text.isNull() | value.isNotNull())
+    return parts.select(*(v.alias(f.name) for v, f in zip(values, schema.fields)),
+                        F.when(~fits, F.col("line")).alias(CORRUPT))
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """``text`` as ``kind``; NULL where it is not a value of that type."""
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.when(text.rlike(DATE_TEXT), F.trim(text).try_cast(kind))
+    return F.trim(text).try_cast(kind)
 
 
 def _condition(e: Exception) -> str:

@@ -1,13 +1,16 @@
 """Load control: quarantine, threshold, missing file, failure isolation,
 log semantics (bronze logs cleared per run, silver logs appended)."""
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layercake.plans import runners
 from layercake.session import run_dir
 from layercake.sources.catalog import Layers
-from layercake.sources.csv_ingest import LoadSpec, ingest
+from layercake.sources.csv_ingest import CORRUPT, LoadSpec, ingest, read_extract
 
 SCHEMA = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()),
                        T.StructField("c", T.IntegerType())])
@@ -37,6 +40,29 @@ def test_quarantine_split(spark, csv_dir):
     assert spark.table("t_bronze.t_quarantine").count() == 3
 
 
+def test_validity_does_not_depend_on_what_is_read(spark, csv_dir):
+    rows = read_extract(spark, csv_dir, SCHEMA)
+    bad = rows.filter(F.col(CORRUPT).isNotNull())
+    assert rows.count() == 6 and bad.count() == 3
+    assert bad.select("b").count() == len(bad.select("b").collect()) == 3
+    assert sorted(r[0] for r in bad.select(CORRUPT).collect()) == ["7,z", "8,q,9,10", "x,y,6"]
+
+
+def test_accepted_text_forms(spark):
+    d = run_dir(spark, "test_forms").removeprefix("file:")
+    _write(d, "a,t,d\n 3,2011-07-01,2011-07-01\n4 ,2011-07-01 10:11:12.500,2011-07-01 00:00:00.000\n"
+              "5,2011-07-01T10:11:12,\n6,2011-02-30,2011-07-01\n7,2011,2011-07-01\n8,2011-07-01x,\n,,\n  ,,\n1.5,,\n")
+    schema = T.StructType.fromDDL("a int, t timestamp_ntz, d date")
+    rows = read_extract(spark, d, schema)
+    day, noon = dt.date(2011, 7, 1), dt.datetime(2011, 7, 1, 10, 11, 12)
+    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT).collect()
+    assert sorted(map(tuple, good), key=str) == sorted([
+        (3, dt.datetime(2011, 7, 1), day), (4, noon.replace(microsecond=500000), day), (5, noon, None),
+        (None, None, None)], key=str)
+    assert sorted(r[CORRUPT] for r in rows.filter(F.col(CORRUPT).isNotNull()).collect()) == sorted(
+        ["6,2011-02-30,2011-07-01", "7,2011,2011-07-01", "8,2011-07-01x,", "  ,,", "1.5,,"])
+
+
 def test_threshold_keeps_previous_version(spark, csv_dir):
     spark.sql("CREATE NAMESPACE IF NOT EXISTS t_bronze")
     ingest(spark, LoadSpec("t2", csv_dir, SCHEMA), "t_bronze.t2", max_errors=10)
