@@ -32,6 +32,8 @@ AS_OF = DEFAULT_AS_OF
 # data in one segment; the registered queries use a threshold that splits them.
 SPEND_THRESHOLD = 2_500_000
 
+REPORTS = ("customer_spending", "customers_report", "products_report")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -295,12 +297,12 @@ def load_audit(spark, d):
 
 def layer_rebuild(spark, d):
     """Namespaces, declared tables, bronze load, silver reload, gold publish:
-    row counts of every published table."""
+    row counts of every published table, the reports among them."""
     layers = Layers("lr_bronze", "lr_silver", "lr_gold")
     out = runners.rebuild(spark, d, layers, AS_OF)
     rows = [("bronze", r.table, r.rows_loaded) for r in out["bronze"]]
     rows += [("silver", name.split(".", 1)[1], n) for _, name, n, *_ in out["silver_ok"]]
-    for t in ("dim_products", "dim_customers", "fact_sales"):
+    for t in ("dim_products", "dim_customers", "fact_sales", *REPORTS):
         rows.append(("gold", t, spark.table(f"{layers.gold}.{t}").count()))
     return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint")
 

@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layercake.plans import gold, reports, silver
 from layercake.session import run_concurrently, run_dir
@@ -148,7 +149,8 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
 
 
 def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict[str, DataFrame]:
-    """Publish the star schema as tables and the three reports as views."""
+    """Publish the star schema and the three reports as tables; the reports
+    also as temporary views over the current star schema."""
     as_of = as_of or dt.date.today()
     s = {t: spark.table(f"{layers.silver}.{t}") for t in silver.SILVER_ORDER}
     dims = {
@@ -168,6 +170,8 @@ def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict
         "customers_report": reports.customers_report(fact, dc, as_of),
         "products_report": reports.products_report(fact, dp, as_of),
     }
+    # stored in the gold namespace, so that other sessions see them too
+    run_concurrently(lambda kv: publish(spark, kv[1], f"{layers.gold}.{kv[0]}"), views.items(), True)
     for v, df in views.items():
         df.createOrReplaceTempView(f"{layers.gold}_{v}")
     return views
@@ -183,6 +187,10 @@ def run_all(spark: SparkSession, extract_dir: str, layers: Layers = Layers(), as
     for t, st in schemas.BRONZE.items():
         if not spark.catalog.tableExists(f"{layers.bronze}.{t}"):
             recreate_table(spark, f"{layers.bronze}.{t}", st)
+    for t, st in schemas.SILVER.items():  # a table that fails to load is empty, not absent
+        if not spark.catalog.tableExists(f"{layers.silver}.{t}"):
+            audited = T.StructType(st.fields).add(schemas.AUDIT_COLUMN, T.TimestampType())
+            recreate_table(spark, f"{layers.silver}.{t}", audited)
     bronze = run_bronze(spark, specs or manifest(extract_dir), layers, max_errors)
     run = run_silver(spark, layers, as_of)
     ok, err = run

@@ -63,6 +63,24 @@ def test_accepted_text_forms(spark):
         ["6,2011-02-30,2011-07-01", "7,2011,2011-07-01", "8,2011-07-01x,", "  ,,", "1.5,,"])
 
 
+def test_first_run_with_a_failing_silver_table(spark, small_dir, monkeypatch):
+    layers = Layers("v_bronze", "v_silver", "v_gold")
+    clean = runners._cleaner
+
+    def cleaner(table, as_of):
+        if table == "erp_loc_a101":
+            raise ValueError("no such rule")
+        return clean(table, as_of)
+
+    monkeypatch.setattr(runners, "_cleaner", cleaner)
+    out = runners.rebuild(spark, small_dir, layers, "2026-01-01")
+    assert [(r[1], r[2]) for r in out["silver_err"]] == [("v_silver.erp_loc_a101", "no such rule")]
+    assert spark.table("v_silver.erp_loc_a101").count() == 0
+    other = spark.newSession()
+    for report, df in out["views"].items():
+        assert other.table(f"v_gold.{report}").count() == df.count() > 0
+
+
 def test_threshold_keeps_previous_version(spark, csv_dir):
     spark.sql("CREATE NAMESPACE IF NOT EXISTS t_bronze")
     ingest(spark, LoadSpec("t2", csv_dir, SCHEMA), "t_bronze.t2", max_errors=10)
