@@ -20,7 +20,13 @@ is the main text and the tree does not judge inside it; hosts of a single
 layout or full of copies therefore lose nothing.  A page that the tree alone
 would leave empty keeps its unmarked text.
 
-The statistics are map-side combined sums over (host, node, style) and (host,
+Copies must not make their own text look like a menu, so pages are not counted
+as such: a block of a node counts once for each different surrounding, which
+is one block of the page's other nodes, chosen by a minimum of hashes weighted
+by length.  Equal pages have one surrounding, near copies few, and a notice has
+as many as there are articles around it.  A style counts once a page text.
+
+The statistics are map-side combined counts over (host, node, style) and (host,
 node, block), so a host with a third of all pages is spread over tasks; only
 noise nodes are joined back, by host, and that join may be split.
 
@@ -35,8 +41,8 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import html
+import math
 import re
-from collections import Counter
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -208,8 +214,23 @@ def host_of(url: str | None) -> str | None:
         return None
 
 
+def _surroundings(blocks) -> dict[int, int]:
+    """By node with text, the block that stands for the text of the other nodes
+    (0: no other has text).
+
+    Every block draws a number from its hash, smaller for longer ones, so two
+    pages draw the same with the share of text they have in common."""
+    least = {}
+    for node, value, size in blocks:
+        drawn = -math.log(((value & (1 << 64) - 1) + 1) / (1 << 64)) / size, value
+        if node not in least or drawn < least[node]:
+            least[node] = drawn
+    first, second = (sorted((d, node) for node, d in least.items()) + [((0.0, 0), 0)] * 2)[:2]
+    return {node: (second if node == first[1] else first)[0][1] for node in least}
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """Nodes of all hosts: host, node, pages, importance."""
+    """Nodes of all hosts: host, node, pages (different surroundings), importance."""
     def walk(batches):
         for b in batches:
             rows = []
@@ -218,19 +239,19 @@ def style_tree(pages: DataFrame) -> DataFrame:
                 if host is None or not source:
                     continue
                 page = Page(source)
-                rows += [(host, node, 0, style, 1) for node, style in page.styles.items() if node]
-                seen = Counter()
-                for text, nodes, marked, main in page.blocks:
-                    if nodes and not marked and not main:
-                        seen[nodes[1], _key(2, text)] += 1
-                rows += [(host, node, 1, block, 1) for (node, block) in seen]
+                blocks = [(nodes[1], _key(2, text), len(text)) for text, nodes, marked, main in page.blocks
+                          if nodes and not marked and not main]
+                whole = _key(3, repr(blocks))
+                rows += [(host, node, 0, style, whole) for node, style in page.styles.items() if node]
+                around = _surroundings(blocks)
+                rows += {(host, node, 1, block, around[node]) for node, block, _ in blocks}
             columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
-                ["host", "node", "kind", "value", "n"])
+                ["host", "node", "kind", "value", "around"])
 
-    values = (pages.select("url", "html").mapInArrow(walk, "host string, node long, kind int, value long, n long")
-              .groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n")))
+    values = (pages.select("url", "html").mapInArrow(walk, "host string, node long, kind int, value long, around long")
+              .distinct().groupBy("host", "node", "kind", "value").agg(F.count("*").alias("n")))
     # per node and kind: sum n and sum n ln n are enough for either entropy
     sums = values.groupBy("host", "node", "kind").agg(
         F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))

@@ -287,6 +287,25 @@ def test_html(spark):
     assert got[30][0] == "a < b" and got[31][0] == "deep"
 
 
+def _main_texts(spark, pages):
+    rows = [(k, f"http://h.example/{k}", p) for k, p in enumerate(pages)]
+    out = _rows(html_text.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id", "text")
+    return [out[k][0] for k in range(len(pages))]
+
+
+def test_html_copies_are_no_menu(spark):
+    page = "<body><div class=date>May</div>%s<div class=y>same words</div></body>"
+    five = ["".join(f"<p>{name} paragraph {i}</p>" for i in range(5)) for name in ["copy", *(f"own {k}" for k in range(100))]]
+    own = [f"<div class=by>writer {k}</div>{x}" for k, x in enumerate(five[1:])]
+    texts = _main_texts(spark, [page % x for x in [five[0]] * 900 + own])
+    assert all(f"copy paragraph {i}" in texts[0] for i in range(5)) and len({*texts[:900]}) == 1
+    assert all(f"own {k} paragraph {i}" in texts[900 + k] for k in range(100) for i in range(5))
+    assert not any("same words" in t for t in texts[900:])
+    near = [five[0].replace("paragraph 3", f"paragraph 3 edit {k}") for k in range(200)]
+    texts = _main_texts(spark, [page % x for x in near + own])
+    assert all(f"copy paragraph 3 edit {k}" in t and "copy paragraph 4" in t for k, t in enumerate(texts[:200]))
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     plain = ["".join(rng.choice("bcdfghklmn") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
