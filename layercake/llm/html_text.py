@@ -16,9 +16,11 @@ host with at least ``least_pages`` pages are noise and are removed from each
 page.  Branches that HTML itself marks as something else than the article
 (nav, footer, aside, form, script, a class like "ad" or "comments") have no
 importance on any host.  Where a page has an article or main element, its text
-is the main text and the tree does not judge inside it; hosts of a single
-layout or full of copies therefore lose nothing.  A page that the tree alone
-would leave empty keeps its unmarked text.
+is the main text, and the tree judges the nodes inside it too; elsewhere it
+judges all unmarked text.  A page that the tree alone would leave empty keeps
+its unmarked text, and so does an article of which the tree would take more
+than half and over ``LONG`` characters: that is a copied article (under another
+headline, say), not a notice.
 
 Copies must not make their own text look like a menu, so pages are not counted
 as such: a block of a node counts once for each different surrounding, which
@@ -66,6 +68,7 @@ NOISE_WORDS = frozenset(
     "social sponsor sponsored subscribe subscription toolbar widget widgets disqus".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert "
                         "alertdialog".split())
+LONG = 500
 # an element of these kinds ends an open p; li, td and the like end their own kind
 ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 "
                    "h6 header hr main menu nav ol p pre section table ul".split())
@@ -194,17 +197,22 @@ def _chain(nodes) -> list[int]:
     return out
 
 
+def candidates(page: Page) -> tuple[list, bool]:
+    """Blocks of a page that the tree judges, and whether they are an article's."""
+    clean = [b for b in page.blocks if not b[2]]
+    article = [b for b in clean if b[3]]
+    return article or clean, bool(article)
+
+
 def main_text(source: str, noise: frozenset = frozenset()) -> str:
     """Main text of one page, given its host's noise nodes."""
-    blocks = Page(source).blocks
-    clean = [b for b in blocks if not b[2]]
-    article = [b for b in clean if b[3]]
-    if article:
-        return " ".join(b[0] for b in article)
+    blocks, article = candidates(Page(source))
     if noise:
-        kept = [b for b in clean if noise.isdisjoint(_chain(b[1]))]
-        clean = kept or clean
-    return " ".join(b[0] for b in clean)
+        kept = [b for b in blocks if noise.isdisjoint(_chain(b[1]))]
+        before, after = (sum(len(b[0]) for b in x) for x in (blocks, kept))
+        if kept and not (article and before - after > max(after, LONG)):
+            blocks = kept
+    return " ".join(b[0] for b in blocks)
 
 
 def host_of(url: str | None) -> str | None:
@@ -239,8 +247,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
                 if host is None or not source:
                     continue
                 page = Page(source)
-                blocks = [(nodes[1], _key(2, text), len(text)) for text, nodes, marked, main in page.blocks
-                          if nodes and not marked and not main]
+                blocks = [(nodes[1], _key(2, text), len(text)) for text, nodes, *_ in candidates(page)[0] if nodes]
                 whole = _key(3, repr(blocks))
                 rows += [(host, node, 0, style, whole) for node, style in page.styles.items() if node]
                 around = _surroundings(blocks)

@@ -306,6 +306,16 @@ def test_html_copies_are_no_menu(spark):
     assert all(f"copy paragraph 3 edit {k}" in t and "copy paragraph 4" in t for k, t in enumerate(texts[:200]))
 
 
+def test_html_tree_judges_articles(spark):
+    page = ("<body><article><h1>Title %d</h1><p>text of page %d</p><div class=x><p>Read more with our plan</p></div>"
+            "<p>end %d</p></article><p>outside</p></body>")
+    texts = _main_texts(spark, [page % (k, k, k) for k in range(12)])
+    assert texts == [f"Title {k} text of page {k} end {k}" for k in range(12)]
+    story = "".join(f"<p>sentence {i} {'of the same story ' * 5}</p>" for i in range(8))
+    texts = _main_texts(spark, [f"<article><h1>Edition {k}</h1>{story}</article>" for k in range(200)])
+    assert all(t.startswith(f"Edition {k} sentence 0") and "sentence 7" in t for k, t in enumerate(texts))
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     plain = ["".join(rng.choice("bcdfghklmn") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
