@@ -15,7 +15,13 @@ it is not judged itself.  Branches whose importance stays below ``threshold`` on
 host with at least ``least_pages`` pages are noise and are removed from each
 page.  Branches that HTML itself marks as something else than the article
 (nav, footer, aside, form, script, a class like "ad" or "comments") have no
-importance on any host.  Where a page has an article or main element, its text
+importance on any host.  Of these marks a listed word, a form, fieldset or object
+is weak: it can as well be on a wrapper of the whole page.  An article or main
+inside weak marks counts if the page has none outside and its text is longer
+than all unmarked text, and a page without any unmarked text or main keeps that
+with the fewest weak marks around it.  Words like "has-comments" or
+"no-sidebar" are no marks, and of an article's or main's own words only the
+first of class and of id is.  Where a page has an article or main element, its text
 is the main text, and the tree judges the nodes inside it too; elsewhere it
 judges all unmarked text.  A page that the tree alone would leave empty keeps
 its unmarked text, and so does an article of which the tree would take more
@@ -61,6 +67,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 NOISE = frozenset("head nav footer aside form script style noscript template button select option textarea iframe "
                   "svg canvas object menu dialog title audio video map fieldset datalist".split())
 MAIN = frozenset(("article", "main"))
+WRAPPERS = frozenset("form fieldset object".split())
+STATES = frozenset("has no with without".split())
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disclaimer footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice "
@@ -83,20 +91,39 @@ _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _kind(tag: str, attributes: str) -> tuple[str, bool]:
-    """Label of an element in the tree, and whether its markup calls it noise."""
+def _listed(tag: str, named: tuple[str, str]) -> bool:
+    """Whether class or id calls an element noise."""
+    for value in named:
+        for token in value.split():
+            words = _WORDS.findall(_CAMEL.sub(" ", token).lower())
+            if tag in MAIN:
+                if words and words[0] in NOISE_WORDS:
+                    return True
+                break
+            if words and words[0] not in STATES and not NOISE_WORDS.isdisjoint(words + _WORDS.findall(token.lower())):
+                return True
+    return False
+
+
+def _kind(tag: str, attributes: str) -> tuple[str, int]:
+    """Label of an element in the tree, and whether its markup calls it noise:
+    0 no, 1 weakly, 2 yes."""
+    mark = 0 if tag not in NOISE else 1 if tag in WRAPPERS else 2
     if attributes in ("", ">", "/>"):
-        return tag, tag in NOISE
+        return tag, mark
     values = {}
     for name, value in _ATTRIBUTE.findall(attributes.rstrip("/>")):
         values.setdefault(name.lower(), value.strip("\"'"))
-    named = values.get("class", "") + " " + values.get("id", "")
+    both = values.get("class", ""), values.get("id", "")
+    named = " ".join(both)
     named = _WORDS.findall((named + " " + _CAMEL.sub(" ", named) if _CAMEL.search(named) else named).lower())
-    noise = (tag in NOISE or (tag not in ("html", "body") and not NOISE_WORDS.isdisjoint(named))
-             or values.get("role", "").lower() in NOISE_ROLES or "hidden" in values
-             or values.get("aria-hidden", "").lower() == "true"
-             or "display:none" in values.get("style", "").replace(" ", "").lower())
-    return tag + "".join("." + w for w in named), noise
+    if (values.get("role", "").lower() in NOISE_ROLES or "hidden" in values
+            or values.get("aria-hidden", "").lower() == "true"
+            or "display:none" in values.get("style", "").replace(" ", "").lower()):
+        mark = 2
+    elif not mark and tag not in ("html", "body") and not NOISE_WORDS.isdisjoint(named) and _listed(tag, both):
+        mark = 1
+    return tag + "".join("." + w for w in named), mark
 
 
 def _key(parent: int, label: str) -> int:
@@ -106,17 +133,20 @@ def _key(parent: int, label: str) -> int:
 
 
 class Page:
-    """One page read into blocks: (text, nodes from the root, marked, main).
+    """One page read into blocks: (text, nodes from the root, weak, base).
 
-    ``marked``: inside a branch that the markup calls noise; ``main``: inside
-    an article or main element.  ``styles``: child-tag sequences by node."""
+    ``weak``: weak marks on the branch; ``base``: those around its outermost
+    article or main element, None outside of them.  Text inside a branch that
+    the markup surely calls noise is left out.  ``empty``: whether the page has
+    no unmarked article or main.  ``styles``: child-tag sequences by node."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, tuple, bool, bool]] = []
+        self.blocks: list[tuple[str, tuple, int, int | None]] = []
+        self.empty = True
         self.styles: dict[int, int] = {}
         self.parts: list[str] = []
-        # open elements: tag, node, number of marked ancestors-or-self, of main ones, nodes
-        self.stack: list[tuple[str, int, int, int, tuple]] = [("", 0, 0, 0, None)]
+        # open elements: tag, node, surely noise, weak marks, base, nodes
+        self.stack: list[tuple[str, int, bool, int, int | None, tuple]] = [("", 0, False, 0, None, None)]
         at = 0
         while True:
             m = _TOKEN.search(source, at)
@@ -136,8 +166,9 @@ class Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, _, marked, main, nodes = self.stack[-1]
-                self.blocks.append((text, nodes, marked > 0, main > 0))
+                _, _, sure, weak, base, nodes = self.stack[-1]
+                if not sure:
+                    self.blocks.append((text, nodes, weak, base))
             self.parts = []
 
     def _close(self, depth: int) -> None:
@@ -147,7 +178,7 @@ class Page:
     def _tag(self, source: str, at: int, closing: bool, tag: str, rest: str) -> int:
         if tag in INLINE:
             if not closing and not rest.endswith("/>"):
-                noise = _kind(tag, rest)[1] if rest not in ("", ">") else False
+                noise = _kind(tag, rest)[1] if rest not in ("", ">") else 0
                 if not noise:
                     return at
             elif not any(s[0] == tag for s in self.stack):
@@ -173,19 +204,21 @@ class Page:
         own = ENDS_OWN.get(tag)
         if own and self.stack[-1][0] in own.split():
             self._close(len(self.stack) - 1)
-        label, noise = _kind(tag, rest)
-        _, parent, marked, main, nodes = self.stack[-1]
-        if tag == "header" and not main:
-            noise = True
-        if noise and tag in MAIN and label == tag:
-            noise = False
+        label, mark = _kind(tag, rest)
+        _, parent, sure, weak, base, nodes = self.stack[-1]
+        if tag == "header" and base is None:
+            mark = 2
+        if tag in MAIN and label == tag:
+            mark = 0
         self.styles[parent] = _key(self.styles.get(parent, 1), label)
         if tag in RAW:  # its content is not markup
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*(?:>|\\Z)", re.I).search(source, at)
             return end.end() if end else len(source)
         node = _key(parent, label)
-        self.stack.append((tag, node, marked + noise, main + (tag in MAIN and not marked and not noise),
-                           (nodes, node)))
+        if tag in MAIN and base is None and not mark and not sure:
+            base = weak
+            self.empty = self.empty and weak > 0
+        self.stack.append((tag, node, sure or mark == 2, weak + (mark == 1), base, (nodes, node)))
         return at
 
 
@@ -200,7 +233,14 @@ def _chain(nodes) -> list[int]:
 def candidates(page: Page) -> tuple[list, bool]:
     """Blocks of a page that the tree judges, and whether they are an article's."""
     clean = [b for b in page.blocks if not b[2]]
-    article = [b for b in clean if b[3]]
+    article = [b for b in clean if b[3] == 0]
+    if not article:
+        wrapped = [b for b in page.blocks if b[3] and b[2] == b[3]]
+        if page.empty and sum(len(b[0]) for b in wrapped) > sum(len(b[0]) for b in clean):
+            article = wrapped
+        elif page.empty and not clean and page.blocks:
+            least = min(b[2] for b in page.blocks)
+            clean = [b for b in page.blocks if b[2] == least]
     return article or clean, bool(article)
 
 

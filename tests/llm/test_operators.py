@@ -316,6 +316,21 @@ def test_html_tree_judges_articles(spark):
     assert all(t.startswith(f"Edition {k} sentence 0") and "sentence 7" in t for k, t in enumerate(texts))
 
 
+@pytest.mark.parametrize("page", [
+    '<article class="post has-comments"><p>long text</p></article>',
+    '<p>May</p><div class="container no-sidebar"><article><p>long text</p><div class=ad>buy</div></article></div>',
+    '<p>May</p><div id="page" class="header-fixed"><main><p>long text</p></main><div id=comments>no</div></div>',
+    '<form action="x"><nav>menu</nav><article><p>long text</p></article><div class="sidebar">s</div></form>',
+    '<form><p>long text</p><div class="widget">w</div></form>',
+    '<div id="page" class="header-fixed"><p>long text</p><div class=ad>buy</div></div>',
+    '<article><p>long text</p></article><div class=related><article><p>a teaser of another page</p></article></div>',
+    '<div><p>long text</p></div><div id=comments><article class=comment><p>a longer comment on it</p></article></div>',
+    '<div class="noSidebar"><p>long text</p></div><div class="cookie-banner">c</div>'])
+def test_html_listed_words_on_wrappers(page):
+    text = html_text.main_text(f"<html><body>{page}<footer>f</footer></body></html>")
+    assert text == "long text"
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     plain = ["".join(rng.choice("bcdfghklmn") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
