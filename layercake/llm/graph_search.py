@@ -13,8 +13,10 @@ shard's graph, and the best of all shards are its answer.
 
 Largest inner product becomes smallest distance by one more component,
 sqrt(M^2 - |x|^2) with M the shard's largest norm, zero for queries.  Graphs
-use 32-bit numbers; scores are inner products of the original vectors in
-double precision.
+use 32-bit numbers, so the origin is moved by M along that component: what is
+left of it, M - sqrt(M^2 - |x|^2), is small for small vectors, and one very long
+vector does not blur its shard.  Searches compare inner products alone.  Scores
+are inner products of the original vectors in double precision.
 
 The index is a table in the shared folder, one row a shard; queries are packed
 in blocks of ``block`` rows, and (block, shard) pairs are the units of work,
@@ -162,10 +164,15 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM_BUILD, alpha: fl
     return graph.astype(np.int32), entry
 
 
-def lifted(x: np.ndarray) -> np.ndarray:
-    """Rows with the component that turns largest inner product into smallest distance."""
-    squares = np.einsum("nd,nd->n", x, x)
-    return np.concatenate([x, np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))[:, None]], 1).astype(np.float32)
+def lifted(x: np.ndarray, moved: bool = False) -> np.ndarray:
+    """Rows with the component that turns largest inner product into smallest
+    distance; ``moved``: less that of a zero vector, without cancellation."""
+    squares = np.einsum("nd,nd->n", x, x, dtype=np.float64)
+    largest = squares.max(initial=0)
+    more = np.sqrt(np.maximum(largest - squares, 0))
+    if moved:
+        more = -squares / np.maximum(np.sqrt(largest) + more, np.finfo(np.float64).tiny)
+    return np.concatenate([x, more[:, None]], 1).astype(np.float32)
 
 
 def _packed(**arrays) -> bytes:
@@ -190,7 +197,7 @@ def index(spark: SparkSession, vectors: DataFrame, k: int, shard_rows: int = SHA
         table = table.sort_by("rep")
         column = lambda c: table.column(c).combine_chunks()
         x = matrix(column("embedding"))
-        graph, entry = build(lifted(x), degree, beam, alpha)
+        graph, entry = build(lifted(x, moved=True), degree, beam, alpha)
         members = column("members")
         data = _packed(x=x, graph=graph, entry=np.array(entry), members=members.flatten().to_numpy(),
                        starts=np.concatenate([[0], np.cumsum(members.value_lengths().to_numpy())]))
@@ -234,11 +241,9 @@ def search(spark: SparkSession, found_index: DataFrame, queries: DataFrame, k: i
             for a, g in zip(b.column(0), b.column(1)):
                 q, node = _unpacked(a.as_py()), _unpacked(g.as_py())
                 x, starts, members = node["x"], node["starts"], node["members"]
-                up = lifted(x)
-                ids, _ = beam_search(up, np.einsum("nd,nd->n", up, up), node["graph"].astype(np.int64),
-                                     int(node["entry"]),
-                                     np.concatenate([q["q"], np.zeros((len(q["q"]), 1))], 1).astype(np.float32),
-                                     max(beam, 2 * k))
+                # all lifted norms are equal: the distance is that of the inner product
+                ids, _ = beam_search(x.astype(np.float32), np.zeros(len(x), np.float32), node["graph"].astype(np.int64),
+                                     int(node["entry"]), q["q"].astype(np.float32), max(beam, 2 * k))
                 out = []
                 for row, (me, near) in enumerate(zip(q["ids"], ids)):
                     near = near[near >= 0]

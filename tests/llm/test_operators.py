@@ -273,6 +273,22 @@ def test_graph_recall():
     assert np.mean([len({*a} & {*b}) / 20 for a, b in zip(true.tolist(), ids.tolist())]) > 0.95
 
 
+@pytest.mark.parametrize("norm", [1, 1e4, 1e6])
+def test_graph_search_beside_a_long_vector(spark, norm):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= norm
+    x = x.astype(np.float32)
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = {}
+    for r in graph_search.nearest(spark, vectors, F.col("vec_id") % 30 == 0, k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    scores = x.astype(float) @ x.astype(float).T
+    np.fill_diagonal(scores, -np.inf)
+    assert np.mean([len(got[q] & {*np.argsort(-scores[q])[:20].tolist()}) / 20 for q in range(0, 3000, 30)]) > 0.95
+
+
 def test_html(spark):
     page = ("<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class=ad>buy</div><article><h1>A&amp;B</h1>"
             "<p>x <b>y</b>z<br>w<p>a&nbsp;b<script>if (a</p>) {}</script></article><div id=comments>no</div><footer>f</footer>")
