@@ -387,6 +387,70 @@ def test_empty_tables(spark):
         assert out.count() == 0
 
 
+def test_pipeline_is_its_stages_chained(spark, tmp_path):
+    """The stages of a run against brute force: texts after each, pieces at the end."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(6)
+    own = [" ".join(rng.choices(["zorgish", "wrexxer", "plain", "some", "thing", "other", "word", "here"], k=40))
+           for _ in range(60)]
+    clean = [" ".join(rng.choices(["plain", "some", "thing", "other", "word", "here"], k=40)) for _ in range(240)]
+    texts = [*_texts(), *clean, *own]
+    docs = spark.createDataFrame(
+        [Row(doc_id=i * 3, text=t, lang="en", source="s", n_chars=len(t or "")) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i * 3, 1, int(i >= len(texts) - 60)) for i in range(len(texts))],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    out = pipeline.run(spark, str(tmp_path)).collect()
+
+    lexicon = toxicity.fit(spark, docs, labels, ~toxicity.held_out())
+    toxic = {r["doc_id"] for r in toxicity.score(docs, lexicon).where("score >= 0.5").collect()}
+    assert toxic == {i * 3 for i in range(len(texts) - 60, len(texts))}
+    left = {i * 3: t for i, t in enumerate(texts) if i * 3 not in toxic}
+    seen = {}
+    for d, t in left.items():
+        lines, gone = [] if t is None else t.split("\n"), set()
+        for k in range(len(lines) - 2):
+            if seen.setdefault(tuple(lines[k:k + 3]), (d, k)) != (d, k):
+                gone |= {k, k + 1, k + 2}
+        left[d] = None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    sets = {d: _shingles(t) for d, t in left.items()}
+    parts = _components(list(sets), [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
+                                     and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])])
+    left = {d: t for d, t in left.items() if parts[d] == d}
+    known = set()
+    for d, t in left.items():
+        b = (t or "").encode()
+        gone = np.zeros(len(b) + 1, bool)
+        for k in range(len(b) - 49):
+            if b[k:k + 50] in known:
+                gone[k:k + 50] = True
+        known |= {b[k:k + 50] for k in range(len(b) - 49)}
+        at, kept = 0, []
+        for c in t or "":
+            size = len(c.encode())
+            if not gone[at:at + size].all():
+                kept.append(c)
+            at += size
+        left[d] = "".join(kept)
+    library = tokens.load(tokenizer_path()).library
+    got = {}
+    for r in sorted(out, key=lambda r: (r["doc_id"], r["piece"])):
+        got.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["ids_crc32"]))
+    want = {}
+    for d, t in left.items():
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        want[d] = [(s, len(ids[s:s + 2048]), zlib.crc32(ids[s:s + 2048].tobytes())) for s in range(0, len(ids), 2048)]
+    assert got == want
+    places = {}
+    for r in out:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for p in places.values():
+        p.sort()
+        assert [o for o, _ in p] == [sum(n for _, n in p[:k]) for k in range(len(p))] and sum(n for _, n in p) <= 2048
+
+
 def test_pipeline(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.createDataFrame(
