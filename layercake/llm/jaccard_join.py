@@ -375,10 +375,16 @@ def join(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = PE
         .select("doc_id", "s.*")
     classes = one.groupBy("key").agg(F.min("doc_id").alias("node"))
     member = materialize(one.select("doc_id", "n", "key", "bits").join(classes, "key")
-                         .select("doc_id", "n", "bits", "node"), spark, "jaccard_members")
+                         .select("doc_id", "n", "bits", "node", "key"), spark, "jaccard_members")
     nodes = member.where("doc_id = node").select("doc_id", "n", "bits")
 
-    owner = member.select("doc_id", "node", F.col("n").alias("size"))
+    # a posting may stand for equal sets of other documents though its own
+    # doc_id has a larger one elsewhere: then it is theirs
+    smaller = (known.select("doc_id", "n", "key")
+               .join(member.select("doc_id", F.col("key").alias("own")), "doc_id").where("key <> own")
+               .select("doc_id", F.col("n").alias("size"), "key").distinct())
+    owner = member.select("doc_id", "node", F.col("n").alias("size")).union(
+        smaller.join(member.where("doc_id = node").select("node", "key"), "key").select("doc_id", "node", "size"))
     members = materialize(
         _shared(postings).union(combined).join(owner, "doc_id").where("n = size")
         .groupBy("signature", "node").agg(F.min("size").alias("n"), F.min("place").alias("place")),

@@ -75,6 +75,14 @@ def test_jaccard_join(spark, monkeypatch, classes):
     assert got == {i: (len(sets[i]), parts[i]) for i in sets}
 
 
+def test_jaccard_join_of_a_set_that_is_not_its_documents_largest(spark):
+    same = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, same), (1, " ".join(f"v{i}" for i in range(90))), (5, same), (9, same + " more"), (12, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = {(r["doc_id"], r["component_id"]) for r in jaccard_join.join(spark, docs).collect()}
+    assert out == {(1, 1), (5, 5), (9, 5), (12, 12)}
+
+
 def test_combinations_share_a_signature():
     """Sets at the threshold share a signature, whichever tokens are frequent."""
     rng = np.random.default_rng(5)
