@@ -189,7 +189,7 @@ def run_all(spark: SparkSession, extract_dir: str, layers: Layers = Layers(), as
             recreate_table(spark, f"{layers.bronze}.{t}", st)
     for t, st in schemas.SILVER.items():  # a table that fails to load is empty, not absent
         if not spark.catalog.tableExists(f"{layers.silver}.{t}"):
-            audited = T.StructType(st.fields).add(schemas.AUDIT_COLUMN, T.TimestampType())
+            audited = T.StructType(list(st.fields)).add(schemas.AUDIT_COLUMN, T.TimestampType())
             recreate_table(spark, f"{layers.silver}.{t}", audited)
     bronze = run_bronze(spark, specs or manifest(extract_dir), layers, max_errors)
     run = run_silver(spark, layers, as_of)
