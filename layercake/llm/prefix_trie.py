@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from layercake.llm.common import materialize
 from layercake.operators.windows import running_totals
 
-ROWS = 4096           # turns at or below a light node at most, and depths of a heavy shard, at least
+ROWS = 256            # turns at or below a light node at most, and depths of a heavy shard, at least
 SHARDS = 8192         # ``rows`` grows with the input, so that there are about so many heavy shards at most
 MESSAGES = 1 << 17    # of a queue, in memory
 IDS = 1 << 14         # conv_ids joined into one text at a time

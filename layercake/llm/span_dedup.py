@@ -9,9 +9,9 @@ with a smaller doc_id is removed; strings are judged on the input.
    each LENGTH-byte string, so equal strings pick equal anchors.  An anchor
    that lies in one document only needs no suffixes: this drops most of the
    corpus without losing a repeated string.
-3. Contexts.  A repeated anchor's context is its bytes and what is around it
-   in any LENGTH-byte string that contains it.  Equal contexts are one, with
-   their first and last document.  A context that shares with no other one
+3. Contexts.  Every LENGTH-byte string has one anchor, its first smallest
+   gram; a repeated anchor's context is the run of the strings that have it.
+   Equal contexts are one, with their first and last document.  A context that shares with no other one
    the anchor and half of the rest on either side shares no string either, so
    its own first document is that of all its strings.
 4. Suffix order.  The other contexts of an anchor meet in one shard.  There the
@@ -56,8 +56,9 @@ GRAM = 20
 SHARD_CONTEXTS = 4_000
 HOT_DOCUMENTS = 20_000  # of an anchor: below, its contexts fit one task
 HOT_ANCHORS = 1 << 18
-BLOCK = 2 << 20
-FLUSH = 1 << 21
+BLOCK = 1 << 19
+FLUSH = 1 << 20
+STEP = 8  # of the bytes before an anchor, in telling which contexts may share a string
 BROADCAST_IDS = 1_000_000
 _BASE = 0xD6E8FEB86659FD93
 
@@ -88,24 +89,46 @@ def _grams(data: np.ndarray, gram: int) -> np.ndarray:
     return mix(have)
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Positions and hashes of the anchors of texts laid end to end: every
-    place that has the smallest hash of a ``length``-byte string."""
-    none = np.empty(0, np.int64), np.empty(0, np.uint64)
+def _windows(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
+    """Hash of every gram; the smallest of each string's, 0 where a string
+    would cross into the next text; places that are smallest in some string."""
     window = length - gram + 1
-    if len(data) < length:
-        return none
     hashes = _grams(data, gram)
     lows = _slide(hashes, window, np.minimum)  # of the string that starts here
-    starts = np.arange(len(lows))
-    ends = np.repeat(offsets[1:], np.diff(offsets))[:len(lows)]
-    lows[starts + length > ends] = 0  # strings do not cross texts
+    for end in offsets[1:].tolist():
+        lows[max(end - length + 1, 0):end] = 0  # strings do not cross texts
     padded = np.concatenate([np.zeros(window - 1, np.uint64), lows, np.zeros(window - 1, np.uint64)])
     highs = _slide(padded, window, np.maximum)  # the largest low of the strings that hold this gram
-    at = np.flatnonzero((highs == hashes) & (hashes != 0))
+    return hashes, lows, np.flatnonzero((highs == hashes) & (hashes != 0))
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+    """Positions and hashes of the anchors of texts laid end to end: every
+    place that has the smallest hash of a ``length``-byte string."""
+    if len(data) < length:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    hashes, _, at = _windows(data, offsets, length, gram)
     return at, hashes[at]
 
 
+def anchored(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+    """Positions and hashes of the anchors, and the first and last of the
+    strings whose first smallest gram each is: every string has one anchor."""
+    if len(data) < length:
+        return (np.empty(0, np.int64), np.empty(0, np.uint64)) + (np.empty(0, np.int64),) * 2
+    hashes, lows, at = _windows(data, offsets, length, gram)
+    begins = np.flatnonzero(lows)
+    low, of = lows[begins], np.searchsorted(at, begins)  # the first anchor from a string's start on
+    value = hashes[at]
+    open_ = np.flatnonzero(value[of] != low)
+    while len(open_):
+        of[open_] += 1
+        open_ = open_[value[of[open_]] != low[open_]]
+    heads = np.flatnonzero(np.diff(of, prepend=-1))
+    own = of[heads]
+    return at[own], value[own], begins[heads], begins[np.append(heads[1:], len(of)) - 1]
+
+
 def _text_blocks(column: pa.Array, block: int = BLOCK):
     """(first row, bytes, offsets) of blocks of texts, one text at least."""
     data, offsets = text_buffer(column)
@@ -308,23 +331,23 @@ def _contexts(docs: DataFrame, length: int, gram: int, buckets: int, hot: np.nda
             ids, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
             grams = [np.concatenate([np.frombuffer(x, np.uint64) for x in g]) for g in b.column(3).to_pylist()]
             for first, data, offsets in _text_blocks(b.column(2)):
-                at, found = anchors(data, offsets, length, gram)
+                at, found, begin, end = anchored(data, offsets, length, gram)
                 row = np.searchsorted(offsets, at, "right") - 1
                 cuts = np.searchsorted(row, np.arange(len(offsets)))
+                whole = data.tobytes()
                 out = []
                 for k in range(len(offsets) - 1):
-                    mine = slice(cuts[k], cuts[k + 1])
-                    take = np.isin(found[mine], grams[first + k])
-                    often = np.isin(found[mine][take], hot).tolist()
-                    s, e = int(offsets[k]), int(offsets[k + 1])
-                    whole = data[s:e].tobytes()
-                    for p, g, spread in zip((at[mine][take] - s).tolist(), found[mine][take].tolist(), often):
-                        start = max(0, p - (length - gram))
-                        text = whole[start:p + length]
+                    mine = np.arange(cuts[k], cuts[k + 1])
+                    mine = mine[np.isin(found[mine], grams[first + k])]
+                    often = np.isin(found[mine], hot).tolist()
+                    doc, key, s = ids[first + k], keys[first + k], int(offsets[k])
+                    for p, g, x, y, spread in zip(at[mine].tolist(), found[mine].tolist(), begin[mine].tolist(),
+                                                  end[mine].tolist(), often):
+                        text = whole[x:y + length]
                         # equal bytes around an anchor elsewhere in them are another context
-                        name = xxhash.xxh3_128_digest(text + bytes([p - start]))
-                        out.append((name, g if g < 1 << 63 else g - (1 << 64), text, p - start, ids[first + k],
-                                    keys[first + k], start, -1 - (start + s) % buckets if spread else g % buckets))
+                        name = xxhash.xxh3_128_digest(text + bytes([p - x]))
+                        out.append((name, g if g < 1 << 63 else g - (1 << 64), text, p - x, doc, key, x - s,
+                                    -1 - x % buckets if spread else g % buckets))
                 columns = list(zip(*out)) or [()] * 8
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
                     pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names)
@@ -335,7 +358,7 @@ def _contexts(docs: DataFrame, length: int, gram: int, buckets: int, hot: np.nda
 def _meet_in_bucket(length: int, gram: int):
     """All contexts of some anchors: the places they remove (doc, key, s, e);
     contexts of hot anchors pass through."""
-    half = (length - gram) // 2
+    rest = length - gram
 
     def one(table: pa.Table) -> pa.Table:
         spread = pa.compute.less(table.column("bucket"), 0)
@@ -359,10 +382,9 @@ def _meet_in_bucket(length: int, gram: int):
         texts, grams, places = (distinct.column(c).to_pylist() for c in ("context", "gram", "at"))
         sides: dict = {}
         for i, (t, g, p) in enumerate(zip(texts, grams, places)):
-            if p >= half:
-                sides.setdefault((g, 0, t[p - half:p + gram]), []).append(i)
-            if len(t) - p >= half + gram:
-                sides.setdefault((g, 1, t[p:p + half + gram]), []).append(i)
+            for back in range(0, rest + 1, STEP):  # a string with back .. back + STEP - 1 bytes before the anchor
+                if p >= back and len(t) >= (past := p + gram + max(rest - back - STEP + 1, 0)):
+                    sides.setdefault((g, back, t[p - back:past]), []).append(i)
         meeting = np.unique([i for group in sides.values() if len(group) > 1 for i in group]).astype(np.int64)
         alone = np.ones(m, bool)
         alone[meeting] = False
