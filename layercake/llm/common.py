@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import lru_cache, wraps
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from layercake.session import materialize, run_dir
 
 __all__ = ["arrow_batches", "binary_array", "connected_components", "materialize",
-           "read", "run_dir", "scan_bytes", "text_buffer"]
+           "read", "run_dir", "scan_bytes", "steady", "text_buffer"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,7 +24,33 @@ def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the record batches handed to Python, so that a run of very long
     texts does not become one batch of gigabytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+@lru_cache(1)
+def _libc():
+    """The C library where it lets memory be given back (glibc); else None."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD: arrays from 4 MB on go back to the system when freed
+        return libc
+    except (OSError, AttributeError):
+        return None
+
+
+def steady(run):
+    """For a function over a task's record batches: the worker, which later
+    tasks use again, keeps none of the memory that this one has taken."""
+    @wraps(run)
+    def held(batches):
+        libc = _libc()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if libc is not None:
+                libc.malloc_trim(0)
+    return held
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -46,7 +46,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layercake.llm.common import arrow_batches, connected_components, materialize
+from layercake.llm.common import arrow_batches, connected_components, materialize, steady
 from layercake.llm.shingles import mix, shingle_sets
 
 CLASSES = 1 << 20
@@ -123,6 +123,7 @@ def _documents(docs: DataFrame, words: int) -> DataFrame:
     """Rows of kind 0: doc_id, n, key, bits; of kind 1: token counts of a chunk (token in doc_id, count in n)."""
     names = ["kind", "doc_id", "n", "key", "bits"]
 
+    @steady
     def run(batches):
         held, size = [], 0
 
@@ -159,6 +160,7 @@ def _postings(docs: DataFrame, words: int, frequent: np.ndarray, buckets: int, p
     """Packed postings of rare signatures by bucket, and rows (bucket -1) of combinations."""
     names = ["bucket", "signature", "doc_id", "n", "packed"]
 
+    @steady
     def run(batches):
         held, size, seen = [], 0, set()
 
@@ -241,6 +243,7 @@ def _verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Dat
     sided = (pairs.join(bits.toDF("a", "na", "bits_a"), "a").join(bits.toDF("b", "nb", "bits_b"), "b")
              .select("a", "b", "na", "nb", "bits_a", "bits_b"))
 
+    @steady
     def prune(batches):
         for batch in batches:
             a, b = (c.to_pylist() for c in batch.columns[4:])
@@ -251,6 +254,7 @@ def _verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Dat
     pairs = materialize(sided.mapInArrow(prune, "a long, b long"), spark, "jaccard_pruned")
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), spark, "jaccard_ids")
 
+    @steady
     def sets(batches):
         for batch in batches:
             got = [t.tobytes() for _, t in shingle_sets(batch.column(1), words)]
@@ -262,6 +266,7 @@ def _verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Dat
     tokens = materialize(tokens, spark, "jaccard_sets")
     both = (pairs.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b").select("a", "b", "ta", "tb"))
 
+    @steady
     def verify(batches):
         for batch in batches:
             keep = []
@@ -327,6 +332,7 @@ def _block_pairs(spark: SparkSession, members: DataFrame, nodes: DataFrame, perc
             x = x[:, :x.shape[1] // 2] ^ x[:, x.shape[1] // 2:]
         return np.ascontiguousarray(x).view(np.uint64)
 
+    @steady
     def meet(batches):
         for batch in batches:
             for n1, b1, n2, b2 in zip(*(c.to_pylist() for c in batch.columns)):

@@ -48,7 +48,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layercake.llm.common import arrow_batches, materialize, text_buffer
+from layercake.llm.common import arrow_batches, materialize, steady, text_buffer
 from layercake.llm.shingles import mix
 
 LENGTH = 50
@@ -247,6 +247,7 @@ def _anchor_rows(docs: DataFrame, buckets: int, length: int, gram: int, limit: i
     (several rows a document); with doc null, anchors of over ``limit`` documents."""
     names = ["bucket", "doc", "packed"]
 
+    @steady
     def run(batches):
         held, size = [], 0
 
@@ -326,6 +327,7 @@ def _contexts(docs: DataFrame, length: int, gram: int, buckets: int, hot: np.nda
     with bucket: by anchor, or below zero for ``hot`` anchors."""
     names = ["hash", "gram", "context", "at", "doc", "key", "start", "bucket"]
 
+    @steady
     def run(batches):
         for b in batches:
             ids, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -531,6 +533,7 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: i
 
 def _joined_spans(hits: DataFrame) -> DataFrame:
     """doc, key, spans: overlapping and touching hits as maximal runs."""
+    @steady
     def run(batches):
         for b in batches:
             spans = []
@@ -574,6 +577,7 @@ def digests(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: in
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     copies, cut = removals(spark, docs, length, gram)
 
+    @steady
     def run(batches):
         for b in batches:
             rows = []
@@ -606,6 +610,7 @@ def dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int
     nothing is left stays, with an empty text."""
     copies, cut = removals(spark, docs.select("doc_id", "text"), length, gram)
 
+    @steady
     def run(batches):
         for b in batches:
             texts = []

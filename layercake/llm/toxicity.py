@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from layercake.llm.common import arrow_batches, materialize
+from layercake.llm.common import arrow_batches, materialize, steady
 
 # Signs that stand for letters, and look-alike letters.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
@@ -138,6 +138,7 @@ def _weigh(df: DataFrame, lexicon: Lexicon, text: str) -> DataFrame:
                                               T.StructField("_words", T.LongType())])
     at = df.columns.index(text)
 
+    @steady
     def run(batches):
         matcher = Matcher(lexicon)
         for b in batches:
