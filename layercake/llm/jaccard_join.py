@@ -288,7 +288,7 @@ def _block_pairs(spark: SparkSession, members: DataFrame, nodes: DataFrame, perc
     """Pairs (a, b) of ``members`` (signature, node, part) in one group and
     different parts that the bitmaps allow to link.
 
-    Near copies share most of their combinations, so signatures with the same
+    Near copies share most of their signatures, so signatures with the same
     smallest node are one group: its pairs are tested once, not once for each
     signature.  Groups are dealt to blocks of bounded size, and two blocks at
     a time are compared, so neither a group nor its pairs are ever held whole
@@ -302,27 +302,20 @@ def _block_pairs(spark: SparkSession, members: DataFrame, nodes: DataFrame, perc
             .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
             .select("head", "block", "blocks", "node", "part", "n", "bits"))
 
-    def pack(table: pa.Table) -> pa.Table:
-        bits = table.column("bits").to_pylist()
-        first = table.slice(0, 1)
-        numbers = np.stack([table.column(c).to_numpy() for c in ("node", "part", "n")]
-                           + [np.array([len(x) for x in bits])]).astype(np.int64)
-        return pa.table({"head": first["head"], "block": first["block"], "blocks": first["blocks"],
-                         "numbers": pa.array([numbers.tobytes()], pa.binary()),
-                         "bits": pa.array([b"".join(bits)], pa.binary())})
-
-    packed = materialize(rows.groupBy("head", "block").applyInArrow(
-        pack, "head long, block int, blocks int, numbers binary, bits binary"), spark, "jaccard_blocks")
-    other = packed.select("head", F.col("block").alias("block2"), F.col("numbers").alias("numbers2"),
-                          F.col("bits").alias("bits2"))
+    lists = [F.collect_list(F.struct("node", "part", "n", "bits")).alias("rows"), F.first("blocks").alias("blocks")]
+    packed = materialize(rows.groupBy("head", "block").agg(*lists).select(  # of about ``block`` rows each
+        "head", "block", "blocks", *[F.col(f"rows.{c}").alias(c) for c in ("node", "part", "n", "bits")]), spark, "jaccard_blocks")
+    other = packed.select("head", F.col("block").alias("block2"),
+                          *[F.col(c).alias(f"{c}2") for c in ("node", "part", "n", "bits")])
     work = (packed.withColumn("block2", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
-            .join(other, ["head", "block2"]).select("numbers", "bits", "numbers2", "bits2"))
+            .join(other, ["head", "block2"]).select("node", "part", "n", "bits", "node2", "part2", "n2", "bits2"))
 
-    def sides(numbers: bytes, bits: bytes):
+    def sides(node: list, part: list, n: list, bits: list):
         """(node, part, n, bitmaps) for each bitmap size of a block."""
-        node, part, n, size = np.frombuffer(numbers, np.int64).reshape(4, -1)
+        node, part, n = (np.array(x, np.int64) for x in (node, part, n))
+        size = np.array([len(x) for x in bits], np.int64)
         ends = np.cumsum(size)
-        data = np.frombuffer(bits, np.uint8)
+        data = np.frombuffer(b"".join(bits), np.uint8)
         for s in np.unique(size):
             at = np.flatnonzero(size == s)
             yield node[at], part[at], n[at], data[(ends[at] - s)[:, None] + np.arange(s)]
@@ -335,9 +328,9 @@ def _block_pairs(spark: SparkSession, members: DataFrame, nodes: DataFrame, perc
     @steady
     def meet(batches):
         for batch in batches:
-            for n1, b1, n2, b2 in zip(*(c.to_pylist() for c in batch.columns)):
-                for va, pa_, na, xa in sides(n1, b1):
-                    for vb, pb, nb, xb in sides(n2, b2):
+            for pair in zip(*(c.to_pylist() for c in batch.columns)):
+                for va, pa_, na, xa in sides(*pair[:4]):
+                    for vb, pb, nb, xb in sides(*pair[4:]):
                         if 100 * min(na.max(), nb.max()) < percent * max(na.min(), nb.min()):
                             continue
                         size = min(xa.shape[1], xb.shape[1])
@@ -351,6 +344,8 @@ def _block_pairs(spark: SparkSession, members: DataFrame, nodes: DataFrame, perc
                                   & (100 * np.minimum(na[p, None], nb) >= percent * np.maximum(na[p, None], nb))
                                   & (100 * (both - differ) >= percent * (both + differ)))
                             i, j = np.nonzero(ok)
+                            if not len(i):
+                                continue
                             x, y = va[i + s], vb[j]
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
@@ -411,18 +406,13 @@ def join(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = PE
     links = _verified(spark, docs, nodes, star, words, percent)
     parts = connected_components(spark, links, "jaccard_components")
 
-    # pairs of one signature in different components: rare ones by their short
-    # posting lists, combinations in blocks
+    # pairs of one signature in different components, in blocks
     placed = (members.join(parts.toDF("node", "part"), "node", "left")
               .select("signature", "node", "n", "place", F.coalesce("part", "node").alias("part")))
     mixed = placed.groupBy("signature").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
         .where("low <> high").select("signature")
     open_ = materialize(placed.join(mixed, "signature", "left_semi"), spark, "jaccard_open")
-    few = open_.where("place is not null")
-    rest = (few.alias("x").join(few.alias("y"), "signature")
-            .where("x.node < y.node and x.part <> y.part").where(fits("x", "y"))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    rest = (rest.union(_block_pairs(spark, open_.where("place is null"), nodes, percent)).distinct()
+    rest = (_block_pairs(spark, open_.select("signature", "node", "part"), nodes, percent).distinct()
             .join(star, ["a", "b"], "left_anti"))
     rest = materialize(rest, spark, "jaccard_rest")
     arrow_batches(spark)
