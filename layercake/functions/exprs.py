@@ -150,15 +150,17 @@ def band(c, cuts: Sequence, labels: Sequence[str], default: str | None = None) -
     return out.otherwise(F.lit(default))
 
 
-def round_ratio(num, den, digits: int) -> Column:
+def round_ratio(num, den, digits: int, ints: bool = False) -> Column:
     """ROUND(num / den, digits) for integer inputs, exactly.
 
     Rounds half away from zero on the exact rational value using integer
-    arithmetic on DECIMAL(38,0) (no overflow for sums of INT), then returns a
-    DOUBLE.  A zero or NULL divisor gives NULL."""
+    arithmetic on DECIMAL(38,0) (no overflow for sums of INT), or on BIGINT
+    where both are INT columns (``ints``, exact for up to 8 digits), then
+    returns a DOUBLE.  A zero or NULL divisor gives NULL."""
     scale = 10 ** digits
-    n = as_col(num).cast("decimal(38,0)")
-    d = F.nullif(as_col(den).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    kind = "bigint" if ints else "decimal(38,0)"
+    n = as_col(num).cast(kind)
+    d = F.nullif(as_col(den).cast(kind), F.lit(0).cast(kind))
     q = F.call_function("div", F.abs(n) * F.lit(2 * scale) + F.abs(d), F.abs(d) * F.lit(2))
     return (q * F.signum(n) * F.signum(d) / F.lit(float(scale))).cast("double")
 

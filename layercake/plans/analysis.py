@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layercake.functions.exprs import (
-    concat_null_propagating, int_avg, int_avg_over, month_diff, pct_text, round_ratio)
+    concat_null_propagating, int_avg, int_avg_over, int_div, month_diff, pct_text, round_ratio)
+
+from layercake.operators.windows import running_totals
 
 # Segment rule defaults (fixed values of the source reports).
 VIP_MIN_LIFESPAN_MONTHS = 12
@@ -93,6 +95,22 @@ def cumulative_intended(fact: DataFrame, date_col="order_date", measure="sales_a
         int_avg_over("average_price", upto).alias("moving_average_price"))
 
 
+def cumulative_daily(fact: DataFrame, date_col="order_date", measure="sales_amount",
+                     price="price", grain: str = "day") -> DataFrame:
+    """The cumulative totals at a finer grain (any unit of ``date_trunc``):
+    per day its sales, the running total of all days up to it, and the
+    truncating running average of the days' average prices.  Running totals go
+    over ranges of days, so no task gets them all."""
+    day = F.date_trunc(grain, F.col(date_col)).cast("date")
+    days = (fact.filter(F.col(date_col).isNotNull()).groupBy(day.alias("order_date"))
+                .agg(F.sum(measure).cast("long").alias("total_sales"), int_avg(price).alias("average_price")))
+    run = running_totals(days, [], [F.asc("order_date")], {
+        "running_total_sales": F.col("total_sales"), "_prices": F.col("average_price"),
+        "_days": F.col("average_price").isNotNull().cast("long")}, name="cumulative_daily")
+    return run.select("order_date", "total_sales", "running_total_sales",
+                      int_div("_prices", "_days").alias("moving_average_price"))
+
+
 def product_performance_yoy(fact: DataFrame, dim_products: DataFrame,
                             group_col="product_name", date_col="order_date",
                             measure="sales_amount") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,6 +198,10 @@ def cumulative_intended(spark, d):
     return analysis.cumulative_intended(_wh(spark, d).fact_sales)
 
 
+def cumulative_daily(spark, d):
+    return analysis.cumulative_daily(_wh(spark, d).fact_sales)
+
+
 def product_performance_yoy(spark, d):
     wh = _wh(spark, d)
     return analysis.product_performance_yoy(wh.fact_sales, wh.dim_products)
@@ -307,6 +311,58 @@ def layer_rebuild(spark, d):
     return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint")
 
 
+def report_views(spark, d):
+    """The three report views, read by name after a reload: a first run without
+    the locations and the ERP customers, then one with all extracts.  Rows and
+    totals of each report by its segment or tier."""
+    layers = Layers("rv_bronze", "rv_silver", "rv_gold")
+    base = runners.stage_extracts(spark, d)
+    specs = [s if not s.table.startswith(("erp_loc", "crm_sales")) else
+             runners.LoadSpec(s.table, s.path + "_absent", s.schema) for s in runners.manifest(base)]
+    runners.run_all(spark, base, layers, AS_OF, specs=specs, spend_threshold=SPEND_THRESHOLD,
+                    afresh=("bronze", "silver"))
+    runners.run_all(spark, base, layers, AS_OF, spend_threshold=SPEND_THRESHOLD)
+    return spark.sql(f"""
+        SELECT 'customer_spending' AS report, customer_segment AS label, count(*) AS n_rows,
+               sum(total_spending) AS total, sum(lifespan) AS months FROM {layers.gold}.customer_spending GROUP BY 2
+        UNION ALL
+        SELECT 'customers_report', concat(customer_segment, ', ', age_group), count(*), sum(total_sales), sum(recency)
+        FROM {layers.gold}.customers_report GROUP BY 2
+        UNION ALL
+        SELECT 'products_report', performance_sales_products, count(*), sum(average_monthly_revenue), sum(recency)
+        FROM {layers.gold}.products_report GROUP BY 2""")
+
+
+def silver_logs(spark, d):
+    """The published logs and the audit column after a silver reload in which
+    one bronze table is absent: one row for each log row, in reload order."""
+    layers = Layers("sl_bronze", "sl_silver", "sl_gold")
+    base = runners.stage_extracts(spark, d)
+    for t in (*(f"{layers.bronze}.{t}" for t in schemas.BRONZE), *(f"{layers.silver}.{t}" for t in schemas.SILVER),
+              f"{layers.silver}.data_load_success_logs", f"{layers.silver}.data_load_error_logs"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    runners.run_bronze(spark, [s for s in runners.manifest(base) if s.table != "erp_cust_az12"], layers)
+    runners.run_silver(spark, layers, AS_OF, parallel=False)
+    audited = None
+    for t in silver.SILVER_ORDER:
+        name = f"{layers.silver}.{t}"
+        if spark.catalog.tableExists(name):
+            one = spark.table(name).agg(F.lit(name).alias("table_nm"), F.count(schemas.AUDIT_COLUMN).alias("audited_rows"))
+            audited = one if audited is None else audited.union(one)
+    ok = spark.table(f"{layers.silver}.data_load_success_logs").select(
+        "table_nm", "procedure_nm", F.lit("loaded").alias("status"), "row_count", "start_time",
+        (F.col("end_time") >= F.col("start_time")).alias("in_time"),
+        (F.col("duration_sec") == F.expr("timestampdiff(SECOND, start_time, end_time)")).alias("duration_fits"))
+    err = spark.table(f"{layers.silver}.data_load_error_logs").select(
+        "table_nm", "procedure_nm", F.concat(F.lit("error: "), "error_line").alias("status"),
+        F.lit(None).cast("long").alias("row_count"), "start_time",
+        (F.col("error_time") >= F.col("start_time")).alias("in_time"), F.length("error_msg") > 0)
+    rows = ok.union(err).join(audited, "table_nm", "left")
+    place = F.row_number().over(Window.partitionBy("procedure_nm").orderBy("start_time"))  # a row a table
+    return rows.select(F.substring_index("table_nm", ".", -1).alias("table_name"), "procedure_nm", place.alias("place"),
+                       "status", "row_count", "audited_rows", "in_time", "duration_fits")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     silver_sales, silver_products, silver_locations, silver_customers, silver_erp_customers,
     silver_categories, keep_latest_dedup, int_date_repair, measure_repair, scd2_end_dates,
@@ -316,4 +372,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     product_performance_yoy, part_to_whole, segment_counts, customer_spending,
     customers_report, products_report, products_report_by_product,
     csv_roundtrip, csv_text_forms, quarantine_counts, load_audit, layer_rebuild,
+    cumulative_daily, report_views, silver_logs,
 ]}

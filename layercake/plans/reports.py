@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from layercake.functions.exprs import (
     band, concat_nulls_as_empty, int_div, month_diff, round_ratio, year_diff)
+from layercake.session import materialize
 from layercake.plans.analysis import (
     VIP_MIN_LIFESPAN_MONTHS, VIP_MIN_SPEND_EXCLUSIVE, customer_spending_base, segment)
 
@@ -94,14 +95,16 @@ def products_report(fact: DataFrame, dim_products: DataFrame, as_of: dt.date | s
     partitioned by MONTH() would put 1/12 of the rows in each of 12 tasks;
     instead the rows are pre-aggregated per year-month (at most 12 x 9999
     rows, a hard bound from the DATE range), the running sums are taken there
-    and broadcast back."""
+    and broadcast back.  The fact is scanned and aggregated once."""
     f = fact.filter(F.col("price").isNotNull() & F.col("product_key").isNotNull())
-    asp = round_ratio("sales_amount", "quantity", 1)
+    asp = round_ratio("sales_amount", "quantity", 1, ints=True)
     agg = f.groupBy("product_key", "order_date", asp.alias("average_selling_price")).agg(
         F.countDistinct("order_number").alias("total_orders"),
         F.sum("sales_amount").cast("long").alias("total_sales"),
         F.sum("quantity").cast("long").alias("total_quantity"),
         F.countDistinct("customer_key").alias("total_customers"))
+    # both grains come from one aggregate of the fact, written once
+    agg = materialize(agg, fact.sparkSession, "product_days")
     # order_date is a grouping key, so first = last order = order_date
     agg = agg.withColumns({"last_order": F.col("order_date"),
                            "first_order": F.col("order_date")})

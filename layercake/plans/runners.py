@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layercake.plans import gold, reports, silver
+from layercake.plans import gold, reports, silver, views as report_sql
 from layercake.session import run_concurrently, run_dir
 from layercake.sources import adapter, schemas
-from layercake.sources.catalog import (
-    Layers, append, create_namespaces, overwrite_small, publish, recreate_table)
+from layercake.sources.catalog import Direct, Layers, create_namespaces
+from layercake.sources.commits import Run, default_store
 from layercake.sources.csv_ingest import (
     DEFAULT_MAX_ERRORS, LoadResult, LoadSpec, ingest, write_extract, write_lines)
 from layercake.sources.testdata import TestTables
@@ -78,20 +78,20 @@ def stage_extracts(spark: SparkSession, sf_dir: str, dirty_sales: bool = False,
 
 def run_bronze(spark: SparkSession, specs: list[LoadSpec], layers: Layers = Layers(),
                max_errors: int | None = DEFAULT_MAX_ERRORS,
-               parallel: bool = True) -> list[LoadResult]:
+               parallel: bool = True, into=None) -> list[LoadResult]:
     """Load every spec (isolated from each other); logs are cleared each run
-    and list the tables in manifest order."""
+    and list the tables in manifest order.  Tables are published one by one,
+    or ``into`` a run, which commits them together."""
     create_namespaces(spark, layers)
+    into = into or Direct(spark)
     results = run_concurrently(
-        lambda s: ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors), specs, parallel)
+        lambda s: ingest(spark, s, f"{layers.bronze}.{s.table}", max_errors, into), specs, parallel)
     now = dt.datetime.now()
     ok = [(r.table, r.path, r.rows_loaded, r.rows_rejected, now)
           for r in results if r.status == "loaded"]
     err = [(r.table, r.path, r.message, now) for r in results if r.status != "loaded"]
-    overwrite_small(spark, ok, schemas.BRONZE_SUCCESS_LOG,
-                    f"{layers.bronze}.bronze_load_success_logs")
-    overwrite_small(spark, err, schemas.BRONZE_ERROR_LOG,
-                    f"{layers.bronze}.bronze_load_error_logs")
+    into.overwrite_small(ok, schemas.BRONZE_SUCCESS_LOG, f"{layers.bronze}.bronze_load_success_logs")
+    into.overwrite_small(err, schemas.BRONZE_ERROR_LOG, f"{layers.bronze}.bronze_load_error_logs")
     return results
 
 
@@ -117,21 +117,23 @@ class SilverRun(tuple):
 
 def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
                procedure: str = "reload_silver_tables",
-               parallel: bool = True) -> SilverRun:
+               parallel: bool = True, into=None) -> SilverRun:
     """Reload the six silver tables (each isolated); logs are appended in the
-    fixed reload order.  The result also carries the total duration."""
+    fixed reload order.  The result also carries the total duration.  Tables
+    are published one by one, or ``into`` a run."""
     as_of = as_of or dt.date.today()
+    into = into or Direct(spark)
     proc_start = dt.datetime.now()
 
     def reload(table):
         start = dt.datetime.now()
         name = f"{layers.silver}.{table}"
         try:
-            src = spark.table(f"{layers.bronze}.{table}")
+            src = into.table(f"{layers.bronze}.{table}")
             df = _cleaner(table, as_of)(src).withColumn(schemas.AUDIT_COLUMN,
                                                         F.current_timestamp())
             obs = Observation(f"silver_{table}_{start.timestamp()}")
-            publish(spark, df.observe(obs, F.count(F.lit(1)).alias("n")), name)
+            into.publish(df.observe(obs, F.count(F.lit(1)).alias("n")), name)
             end = dt.datetime.now()
             return "ok", (procedure, name, int(obs.get["n"]), start, end,
                           int((end - start).total_seconds()), end)
@@ -142,71 +144,102 @@ def run_silver(spark: SparkSession, layers: Layers = Layers(), as_of=None,
     outcomes = run_concurrently(reload, silver.SILVER_ORDER, parallel)
     ok = [row for kind, row in outcomes if kind == "ok"]
     err = [row for kind, row in outcomes if kind == "err"]
-    append(spark, ok, schemas.SILVER_SUCCESS_LOG, f"{layers.silver}.data_load_success_logs")
+    into.append(ok, schemas.SILVER_SUCCESS_LOG, f"{layers.silver}.data_load_success_logs")
     # also without an error: the log is there to be queried
-    append(spark, err, schemas.SILVER_ERROR_LOG, f"{layers.silver}.data_load_error_logs")
+    into.append(err, schemas.SILVER_ERROR_LOG, f"{layers.silver}.data_load_error_logs")
     return SilverRun(ok, err, (dt.datetime.now() - proc_start).total_seconds())
 
 
-def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict[str, DataFrame]:
-    """Publish the star schema and the three reports as tables; the reports
-    also as temporary views over the current star schema."""
-    as_of = as_of or dt.date.today()
-    s = {t: spark.table(f"{layers.silver}.{t}") for t in silver.SILVER_ORDER}
+def run_star(spark: SparkSession, layers: Layers, into) -> None:
+    """Publish the star schema from the silver tables that ``into`` sees."""
+    s = {t: into.table(f"{layers.silver}.{t}") for t in silver.SILVER_ORDER}
     dims = {
         "dim_products": lambda: gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"],
                                                   spark),
         "dim_customers": lambda: gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"],
                                                     s["erp_loc_a101"], spark),
     }
-    run_concurrently(lambda kv: publish(spark, kv[1](), f"{layers.gold}.{kv[0]}"),
-                     dims.items(), True)
-    dp = spark.table(f"{layers.gold}.dim_products")
-    dc = spark.table(f"{layers.gold}.dim_customers")
-    publish(spark, gold.fact_sales(s["crm_sales_details"], dp, dc), f"{layers.gold}.fact_sales")
-    fact = spark.table(f"{layers.gold}.fact_sales")
+    run_concurrently(lambda kv: into.publish(kv[1](), f"{layers.gold}.{kv[0]}"), dims.items(), True)
+    dp = into.table(f"{layers.gold}.dim_products")
+    dc = into.table(f"{layers.gold}.dim_customers")
+    into.publish(gold.fact_sales(s["crm_sales_details"], dp, dc), f"{layers.gold}.fact_sales")
+
+
+def run_gold(spark: SparkSession, layers: Layers = Layers(), as_of=None) -> dict[str, DataFrame]:
+    """Publish the star schema and the three reports as tables; the reports
+    also as temporary views over the current star schema."""
+    as_of = as_of or dt.date.today()
+    into = Direct(spark)
+    run_star(spark, layers, into)
+    fact, dp, dc = (spark.table(f"{layers.gold}.{t}") for t in ("fact_sales", "dim_products", "dim_customers"))
     views = {
         "customer_spending": reports.customer_spending(fact, dc),
         "customers_report": reports.customers_report(fact, dc, as_of),
         "products_report": reports.products_report(fact, dp, as_of),
     }
     # stored in the gold namespace, so that other sessions see them too
-    run_concurrently(lambda kv: publish(spark, kv[1], f"{layers.gold}.{kv[0]}"), views.items(), True)
+    run_concurrently(lambda kv: into.publish(kv[1], f"{layers.gold}.{kv[0]}"), views.items(), True)
     for v, df in views.items():
         df.createOrReplaceTempView(f"{layers.gold}_{v}")
     return views
 
 
+def declare(run: Run, layers: Layers, only: tuple[str, ...] = ("bronze", "silver"), again: bool = False) -> None:
+    """Have every declared table of the layers (empty, if it is new or ``again``)."""
+    declared = {"bronze": {f"{layers.bronze}.{t}": st for t, st in schemas.BRONZE.items()},
+                "silver": {f"{layers.silver}.{t}": T.StructType(
+                    [*st.fields, T.StructField(schemas.AUDIT_COLUMN, T.TimestampType())])
+                    for t, st in schemas.SILVER.items()}}
+    for layer in only:
+        for name, schema in declared[layer].items():
+            run.declare(name, schema, again)
+
+
+def recreate(spark: SparkSession, layers: Layers = Layers(), only: tuple[str, ...] = ("bronze", "silver"),
+             store: str | None = None) -> int:
+    """Recreate the declared tables of some layers, empty, in one commit; any number of times."""
+    create_namespaces(spark, layers)
+    run = Run(spark, store or default_store(spark, layers))
+    declare(run, layers, only, again=True)
+    return run.commit()
+
+
 def run_all(spark: SparkSession, extract_dir: str, layers: Layers = Layers(), as_of=None,
-            max_errors: int | None = DEFAULT_MAX_ERRORS,
-            specs: list[LoadSpec] | None = None) -> dict:
+            max_errors: int | None = DEFAULT_MAX_ERRORS, specs: list[LoadSpec] | None = None,
+            store: str | None = None, spend_threshold=report_sql.VIP_MIN_SPEND_EXCLUSIVE,
+            afresh: tuple[str, ...] = ()) -> dict:
     """The whole warehouse from a folder of CSV extracts laid out as in
-    ``SOURCE_FILES``: namespaces, declared bronze tables, bronze load, silver
-    reload, gold tables and report views."""
+    ``SOURCE_FILES``, as one commit: namespaces, declared tables (those of the
+    layers in ``afresh`` emptied first), bronze load, silver reload, star
+    schema and report views.
+
+    A bronze or silver table that fails is logged and keeps its version; any
+    other failure leaves all tables, logs and views as they were.  The reports
+    are catalog views over the star schema (``as_of`` None: the day of reading).
+    """
     create_namespaces(spark, layers)
-    for t, st in schemas.BRONZE.items():
-        if not spark.catalog.tableExists(f"{layers.bronze}.{t}"):
-            recreate_table(spark, f"{layers.bronze}.{t}", st)
-    for t, st in schemas.SILVER.items():  # a table that fails to load is empty, not absent
-        if not spark.catalog.tableExists(f"{layers.silver}.{t}"):
-            audited = T.StructType(list(st.fields)).add(schemas.AUDIT_COLUMN, T.TimestampType())
-            recreate_table(spark, f"{layers.silver}.{t}", audited)
-    bronze = run_bronze(spark, specs or manifest(extract_dir), layers, max_errors)
-    run = run_silver(spark, layers, as_of)
-    ok, err = run
-    views = run_gold(spark, layers, as_of)
+    run = Run(spark, store or default_store(spark, layers))
+    declare(run, layers)
+    declare(run, layers, afresh, again=True)
+    bronze = run_bronze(spark, specs or manifest(extract_dir), layers, max_errors, into=run)
+    loaded = run_silver(spark, layers, as_of, into=run)
+    run_star(spark, layers, run)
+    for v, sql in report_sql.report_views(layers, as_of, spend_threshold).items():
+        run.view(f"{layers.gold}.{v}", sql)
+    version = run.commit()
+    views = {v: spark.table(f"{layers.gold}.{v}") for v in report_sql.report_views(layers)}
+    for v, df in views.items():
+        df.createOrReplaceTempView(f"{layers.gold}_{v}")
+    ok, err = loaded
     return {"bronze": bronze, "silver_ok": ok, "silver_err": err,
-            "silver_total_seconds": run.total_seconds, "views": views}
+            "silver_total_seconds": loaded.total_seconds, "views": views, "version": version}
 
 
 def rebuild(spark: SparkSession, sf_dir: str, layers: Layers = Layers(), as_of=None,
             missing: tuple[str, ...] = ()) -> dict:
     """Rebuild from scratch on extracts staged from the test tables:
-    declared tables recreated, then ``run_all``."""
-    create_namespaces(spark, layers)
-    for t, st in schemas.BRONZE.items():
-        recreate_table(spark, f"{layers.bronze}.{t}", st)
+    declared bronze tables recreated, then the layers, in one commit."""
     base = stage_extracts(spark, sf_dir)
     specs = [LoadSpec(s.table, s.path + "_missing", s.schema) if s.table in missing else s
              for s in manifest(base)]
-    return run_all(spark, base, layers, as_of, specs=specs)
+    return run_all(spark, base, layers, as_of, specs=specs, afresh=("bronze",))

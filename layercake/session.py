@@ -26,6 +26,9 @@ _SQL_CONF = {
     "spark.sql.execution.sortBeforeRepartition": "true",
     # good and quarantined rows go to two open files, without a sort by the flag
     "spark.sql.maxConcurrentOutputFileWriters": "2",
+    # the JVM compiles no method of over 8000 bytes: a longer stage is better
+    # run operator by operator than interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -86,6 +86,29 @@ def overwrite_small(spark: SparkSession, rows: list[tuple], schema: T.StructType
     publish(spark, spark.createDataFrame(rows, schema), name)
 
 
+class Direct:
+    """Tables published one by one: each is repointed as soon as it is written.
+    (``commits.Run`` has the same methods and switches all tables at once.)"""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(name)
+
+    def publish(self, df: DataFrame, name: str) -> str:
+        return publish(self.spark, df, name)
+
+    def publish_path(self, name: str, path: str, schema: T.StructType) -> None:
+        publish_path(self.spark, name, path, schema)
+
+    def overwrite_small(self, rows: list[tuple], schema: T.StructType, name: str) -> None:
+        overwrite_small(self.spark, rows, schema, name)
+
+    def append(self, rows: list[tuple], schema: T.StructType, name: str) -> None:
+        append(self.spark, rows, schema, name)
+
+
 def _location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     for r in rows:

@@ -5,6 +5,8 @@
 * numbers and dates may be padded with spaces; dates and datetimes are
   ``yyyy-MM-dd``, optionally followed by a space or T and ``HH:mm:ss``, with
   up to six digits of a second (a date column takes the date part);
+* every line but a file's first is a row, whatever characters it holds; a
+  blank line is a row of one empty field;
 * rows that do not fit the schema (unparsable value, too few or too many
   fields) are kept apart with their raw text instead of being half-loaded.
   A line is read as one string and typed by expressions, so whether it fits
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layercake.sources.catalog import publish_path
+from layercake.sources.catalog import Direct
 from layercake.session import path_exists, run_dir
 
 CORRUPT = "_corrupt_record"
@@ -42,14 +44,6 @@ CSV_OPTIONS = {
     "dateFormat": "yyyy-MM-dd",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
 }
-# a line is read as one column, cut at what no text holds
-LINE_OPTIONS = {
-    "header": "true",
-    "sep": "\u0001\u0002\u0001",
-    "quote": "",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
 DATE_TEXT = r"^ *\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)? *$"
 
 
@@ -81,12 +75,26 @@ def write_extract(df: DataFrame, path: str) -> str:
     return path
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the text files at ``path`` but each file's first (its
+    header), whole, whatever characters it holds; blank lines are lines.
+
+    Lines end at a line feed, a carriage return, or both.  A file's first line
+    is the one with the least number among those of its first block; these
+    numbers, one a file, are broadcast."""
+    block = F.col("_metadata.file_block_start")
+    lines = (spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"),
+                                          block.alias("_block"))
+             .withColumn("_number", F.monotonically_increasing_id()))
+    heads = lines.where("_block = 0").groupBy("_file").agg(F.min("_number").alias("_number")).select("_number")
+    return lines.join(F.broadcast(heads), "_number", "left_anti").select("line")
+
+
 def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed, positional read; bad rows carry their raw line in ``_corrupt_record``.
 
     Raises ``AnalysisException`` (condition PATH_NOT_FOUND) for a missing path."""
-    lines = spark.read.schema("line string").options(**LINE_OPTIONS).csv(path)
-    parts = lines.select("line", F.split("line", ",", -1).alias("parts"))
+    parts = read_lines(spark, path).select("line", F.split("line", ",", -1).alias("parts"))
     texts = [F.nullif(F.get("parts", F.lit(i)), F.lit("")) for i in range(len(schema))]
     values = [_typed(text, f.dataType) for text, f in zip(texts, schema.fields)]
     fits = F.size("parts") == len(schema)
@@ -114,8 +122,10 @@ def _condition(e: Exception) -> str:
 
 
 def ingest(spark: SparkSession, spec: LoadSpec, target: str,
-           max_errors: int | None = DEFAULT_MAX_ERRORS) -> LoadResult:
-    """Load one extract into table ``target`` (and ``target``_quarantine)."""
+           max_errors: int | None = DEFAULT_MAX_ERRORS, into=None) -> LoadResult:
+    """Load one extract into table ``target`` (and ``target``_quarantine),
+    published at once or ``into`` a run."""
+    into = into or Direct(spark)
     t0 = dt.datetime.now()
     res = LoadResult(spec.table, spec.path, "failed")
     if not path_exists(spark, spec.path):
@@ -144,13 +154,13 @@ def ingest(spark: SparkSession, spec: LoadSpec, target: str,
         good, bad = f"{version}/quarantined=false", f"{version}/quarantined=true"
         bad_schema = T.StructType(list(spec.schema.fields) +
                                   [T.StructField(CORRUPT, T.StringType(), True)])
-        publish_path(spark, f"{target}_quarantine", bad, bad_schema)
+        into.publish_path(f"{target}_quarantine", bad, bad_schema)
         if max_errors is not None and res.rows_rejected > max_errors:
             res.status = "rejected"
             res.message = (f"{res.rows_rejected} rows could not be parsed "
                            f"(more than {max_errors}); table left unchanged")
             return res
-        publish_path(spark, target, good, spec.schema)
+        into.publish_path(target, good, spec.schema)
         res.status = "loaded"
     except Exception as e:  # noqa: BLE001 - failure isolation: log and continue
         res.status, res.message = "failed", f"{_condition(e)}: {e}"

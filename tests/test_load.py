@@ -183,3 +183,31 @@ def test_vacuum_on_never_written_table(spark):
     spark.sql("CREATE NAMESPACE IF NOT EXISTS t_vac")
     recreate_table(spark, "t_vac.empty", schemas.BRONZE["erp_loc_a101"])
     assert vacuum_versions(spark, "t_vac.empty") == []
+
+
+def test_lines_are_whole_whatever_they_hold(spark):
+    d = run_dir(spark, "test_lines").removeprefix("file:")
+    odd = "x\u0001\u0002\u0001y"
+    _write(d, f"a,b,c\n1,{odd},3\n\n2,\u0000z\t,4\na,b,c\n5,\u0085 ,6\n7,{odd}\n")
+    with open(f"{d}/part-1.csv", "w") as f:
+        f.write("a,b,c\n8,last,9")
+    open(f"{d}/part-2.csv", "w").close()           # an empty file has no header either
+    rows = read_extract(spark, d, SCHEMA)
+    good = sorted(tuple(r) for r in rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT).collect())
+    assert good == [(1, odd, 3), (2, "\u0000z\t", 4), (5, "\u0085 ", 6), (8, "last", 9)]
+    bad = sorted(r[0] for r in rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT).collect())
+    assert bad == sorted(["", "a,b,c", f"7,{odd}"])  # a blank line, a line equal to the header, a short one
+
+
+def test_headers_of_split_files(spark):
+    """Only a file's first line goes, not the first of its further splits."""
+    d = run_dir(spark, "test_splits").removeprefix("file:")
+    _write(d, "a,b,c\n" + "".join(f"{i},{'w' * 50},1\n" for i in range(4000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = read_extract(spark, d, SCHEMA)
+        assert rows.rdd.getNumPartitions() > 4
+        assert rows.filter(F.col(CORRUPT).isNull()).agg(F.count("*"), F.sum("a")).first()[:] == (4000, 4000 * 3999 // 2)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -4,7 +4,7 @@ spans several partitions, NULL keys, NULL order values and empty partitions."""
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from layercake.operators.windows import lead_within
+from layercake.operators.windows import lead_within, running_totals
 
 
 def _compare(df, n):
@@ -60,3 +60,38 @@ def test_lead_of_other_column(spark):
     w = Window.partitionBy("k").orderBy("t", "id")
     ref = df.withColumn("ref", F.lead("v").over(w)).select("id", "ref")
     assert got.join(ref, "id").filter(~F.col("nxt").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def _totals(spark, keyed, n=None):
+    df = spark.range(0, 5000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 101 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
+        (F.col("id") * 7919 % 5003).alias("t"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 11 - 5).alias("v"))
+    key = ["k"] if keyed else []
+    w = Window.partitionBy(*key).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = df.withColumns({"s": F.sum("v").over(w), "n": F.sum(F.lit(1)).over(w)})
+    got = running_totals(df, key, [F.asc("t")], {"s": F.col("v"), "n": F.lit(1)}, n)
+    assert got.columns == ["id", "k", "t", "v", "s", "n"]
+    assert sorted(map(tuple, got.select("id", "s", "n").collect())) == sorted(map(tuple, wanted.select("id", "s", "n").collect()))
+    return got
+
+
+def test_running_totals(spark):
+    for keyed in (True, False):
+        for n in (None, 1, 16):
+            _totals(spark, keyed, n)
+
+
+def test_running_totals_over_all_rows_need_no_single_task(spark):
+    got = _totals(spark, False, 16)
+    got.collect()
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_totals_of_nothing_and_of_nulls(spark):
+    df = spark.createDataFrame([], "k string, t int, v int")
+    assert running_totals(df, ["k"], [F.asc("t")], {"s": F.col("v")}).collect() == []
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("b", 1, 3)], "k string, t int, v int")
+    got = running_totals(df, ["k"], [F.asc("t")], {"v": F.col("v")}, 4).collect()  # a total in place of its column
+    assert sorted(map(tuple, got), key=str) == [("a", 1, None), ("a", 2, None), ("b", 1, 3)]
