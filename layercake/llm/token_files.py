@@ -21,9 +21,9 @@ speculative attempt writes another name, and the manifest names the file of
 the attempt that succeeded.
 
 Defined results: a null or empty text is its end id alone; very long texts
-are one long frame; rows with equal doc_id are ordered by text; rows with a
-null doc_id are kept out (they cannot be asked for); an empty table gives no
-file and an empty manifest; extra columns are not stored.
+are one long frame; rows with equal doc_id are ordered by their texts' hashes;
+rows with a null doc_id come first (``fetch`` cannot ask for them); an empty
+table gives no file and an empty manifest; extra columns are not stored.
 """
 
 from __future__ import annotations
@@ -62,11 +62,13 @@ class FrameWriter:
         self.open: list[np.ndarray] = []
         self.held = 0
         self.doc_ids: list[int] = []
+        self.unnamed = 0  # documents without doc_id: they come first
         self.counts: list[int] = []
         self.frames: list[int] = []
 
-    def add(self, doc_id: int, ids: np.ndarray) -> None:
-        self.doc_ids.append(doc_id)
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.unnamed += doc_id is None
+        self.doc_ids.append(doc_id or 0)
         self.counts.append(len(ids))
         self.frames.append(len(self.table))
         self.open.append(ids)
@@ -86,7 +88,7 @@ class FrameWriter:
 
     def close(self) -> None:
         self._flush()
-        head = json.dumps({"width": self.width, "docs": len(self.doc_ids)}).encode() + b"\n"
+        head = json.dumps({"width": self.width, "docs": len(self.doc_ids), "unnamed": self.unnamed}).encode() + b"\n"
         self._frame(head + b"".join(np.array(x, "<i8").tobytes() for x in (self.doc_ids, self.counts, self.frames)))
         body = b"".join(struct.pack("<III", *row) for row in self.table)
         body += FOOTER.pack(len(self.table), CHECKSUMS, SEEKABLE)
@@ -110,6 +112,11 @@ class FrameReader:
         meta = json.loads(head)
         self.width = meta["width"]
         self.doc_ids, self.counts, self.frames = np.frombuffer(arrays, "<i8").reshape(3, meta["docs"])
+        self.unnamed = meta["unnamed"]
+
+    def names(self) -> pa.Array:
+        """The doc_id of every document, null for the first ``unnamed``."""
+        return pa.array(self.doc_ids, pa.int64(), mask=np.arange(len(self.doc_ids)) < self.unnamed)
 
     def content(self, frame: int) -> bytes:
         packed, size, check = (int(x) for x in self.table[frame])
@@ -166,8 +173,9 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end
                 [pa.array([part], pa.int32()), pa.array([path]), pa.array([n_docs], pa.int64()),
                  pa.array([n_ids], pa.int64())], ["part", "path", "n_docs", "n_ids"])
 
-    dealt = (docs.where("doc_id is not null").select("doc_id", "text").repartitionByRange("doc_id")
-             .sortWithinPartitions("doc_id", "text"))
+    # a doc_id that very many rows have, or null, is split by the texts' hashes
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text").asc()]
+    dealt = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order, F.asc("text"))
     return materialize(dealt.mapInArrow(save, schema), spark, "token_manifest")
 
 
@@ -200,7 +208,7 @@ def read_index(manifest: DataFrame) -> DataFrame:
                     for row, ids in reader.documents():
                         checks[row] = zlib.crc32(ids.astype("<u4").tobytes())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(reader.doc_ids), pa.array(starts), pa.array(reader.counts), pa.array(checks)],
+                        [reader.names(), pa.array(starts), pa.array(reader.counts), pa.array(checks)],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return (files.select("path", "before").repartition(n)
@@ -217,7 +225,7 @@ def fetch(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
                     reader = FrameReader(source)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([path] * len(reader.doc_ids)), pa.array(np.arange(len(reader.doc_ids))),
-                         pa.array(reader.doc_ids)], ["path", "row", "doc_id"])
+                         reader.names()], ["path", "row", "doc_id"])
 
     def load(batches):
         for b in batches:

@@ -177,6 +177,21 @@ def test_token_files(spark, tmp_path):
         token_files.read_index(manifest).collect()
 
 
+def test_token_files_of_repeated_and_null_doc_ids(spark, tmp_path):
+    rows = [(None, "b c"), (3, "x"), (None, "a"), (3, "x"), (3, "longer text"), (None, None), (0, "zero")]
+    manifest = token_files.write(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "t"),
+                                 tokenizer_path())
+    library = tokens.load(tokenizer_path()).library
+    crc = lambda t: zlib.crc32(np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes())
+    got = sorted(token_files.read_index(manifest).collect(), key=lambda r: r["start"])
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["ids_crc32"]) for r in got) == sorted(
+        (d is not None, d or 0, crc(t)) for d, t in rows)
+    assert [r["doc_id"] for r in got] == [None, None, None, 0, 3, 3, 3]  # null first
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+    some = token_files.fetch(manifest, spark.createDataFrame([(0,), (None,)], "doc_id long")).collect()
+    assert [(r["doc_id"], r["ids"][-1]) for r in some] == [(0, 2)]
+
+
 def test_packing(spark):
     docs = _docs(spark)
     rows = packing.pack(spark, packing.pieces(docs, tokenizer_path(), capacity=256), capacity=256).collect()
