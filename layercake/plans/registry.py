@@ -17,6 +17,7 @@ from layercake.functions.exprs import ci_key, code_map, int_date_rejected, int_t
 from layercake.operators.cleanse import (
     keep_latest, null_out_of_range, prefer_known, repair_measures, scd2_end_date, split_key,
     standardise_or_keep, strip_prefix)
+from layercake.operators.collation import collate, group_names, spelled
 from layercake.operators.keys import dense_key
 from layercake.plans import analysis, reports, silver
 from layercake.plans.warehouse import DEFAULT_AS_OF, warehouse
@@ -363,6 +364,47 @@ def silver_logs(spark, d):
                        "status", "row_count", "audited_rows", "in_time", "duration_fits")
 
 
+# ---- names and keys under a collation ------------------------------------------
+
+def collated_sales(spark, d):
+    """Sales by category and product line, both in several spellings, under the
+    warehouse's collation: lines, amount, first and last order, spellings."""
+    wh = _wh(spark, d)
+    k = F.col("product_id")
+    dim = wh.dim_products.select("product_key", adapter.respelt(k, F.col("category")).alias("category"),
+                                 adapter.respelt(F.col("cost"), F.col("product_line")).alias("product_line"))
+    pre = wh.fact_sales.groupBy("product_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("sales_amount").alias("amount"),
+        F.min("order_date").alias("first"), F.max("order_date").alias("last"))
+    return group_names(pre.join(dim, "product_key", "left"), ["category", "product_line"], {
+        "n_lines": ("sum", "n"), "total_sales": ("sum", "amount"),
+        "first_order_date": ("min", "first"), "last_order_date": ("max", "last")}, "n_spellings")
+
+
+def collated_keep_latest(spark, d):
+    """The newest CRM row of each customer key, keys in several spellings."""
+    b = _bronze("crm_cust_info")(spark, d)
+    key = adapter.respelt(F.dayofmonth("cst_create_date"), F.col("cst_key"))
+    named = collate(b.withColumn("spelling", key).withColumn("cst_key", key), ["cst_key"])
+    newest = keep_latest(named, "cst_key", [F.desc("cst_create_date"), F.asc("spelling"), F.asc_nulls_first("cst_id"),
+                                            F.asc("cst_marital_status"), F.asc("cst_firstname")])
+    return spelled(newest.select("cst_key", "cst_id", "cst_lastname", "cst_marital_status", "cst_create_date"))
+
+
+def collated_lookup(spark, d):
+    """Customers and their locations joined on declared keys in different
+    spellings: customers, distinct keys and matches by country, countries
+    grouped under the collation too."""
+    day = F.dayofmonth("cst_create_date")
+    cust = _bronze("crm_cust_info")(spark, d).select(
+        adapter.respelt(day, F.col("cst_key")).alias("cst_key"), day.alias("day"))
+    loc = silver_locations(spark, d).select(adapter.respelt(F.length("cntry"), F.col("cid")).alias("cid"), "cntry")
+    j = collate(cust, ["cst_key"]).join(collate(loc, ["cid"]), F.col("cst_key") == F.col("cid"), "left")
+    j = j.withColumn("cntry", adapter.respelt(F.col("day"), F.col("cntry")))
+    per_key = group_names(j, ["cst_key", "cntry"], {"rows": ("count", "*"), "hits": ("count", "cid")})
+    return group_names(per_key, ["cntry"], {"n_keys": ("count", "*"), "n_rows": ("sum", "rows"), "n_matched": ("sum", "hits")})
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     silver_sales, silver_products, silver_locations, silver_customers, silver_erp_customers,
     silver_categories, keep_latest_dedup, int_date_repair, measure_repair, scd2_end_dates,
@@ -372,5 +414,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     product_performance_yoy, part_to_whole, segment_counts, customer_spending,
     customers_report, products_report, products_report_by_product,
     csv_roundtrip, csv_text_forms, quarantine_counts, load_audit, layer_rebuild,
-    cumulative_daily, report_views, silver_logs,
+    cumulative_daily, report_views, silver_logs, collated_sales, collated_keep_latest, collated_lookup,
 ]}

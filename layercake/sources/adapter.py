@@ -169,6 +169,11 @@ def erp_px_cat_g1v2(t: TestTables) -> DataFrame:
     ).distinct()
 
 
+def respelt(key: Column, text: Column) -> Column:
+    """``text`` in capitals, in small letters with trailing spaces, or as it is, by ``key``."""
+    return F.when(key % 3 == 0, F.upper(text)).when(key % 3 == 1, F.concat(F.lower(text), F.lit("  "))).otherwise(text)
+
+
 EXTRACTS = {
     "crm_cust_info": crm_cust_info,
     "crm_prd_info": crm_prd_info,
