@@ -7,10 +7,18 @@ takes the right end of b for itself, which in turn depends on what follows.
 ``lookahead`` bounds the longest such chain by one pass over the merges in
 order.  Once that many bytes follow a token inside the window, the token is
 stable, is emitted, and its bytes leave the window.  So a pre-token of any
-length needs a window of constant size.  At a stable token boundary no merge
-crosses, hence encoding goes on from there without memory of what came before.
-Pre-tokens that fit the window are encoded at once and remembered in a cache
-of bounded size.
+length needs a window of constant size: twice the lookahead and two bytes.  At
+a stable token boundary no merge crosses, hence encoding goes on from there
+without memory of what came before.  The end of a pre-token makes all that is
+held stable; words up to 64 characters, far below the window, are emitted there
+many at once, and remembered in a cache of bounded size.
+
+The split rule runs over a text in stretches of ``STRETCH`` characters.  A
+pre-token is stable once two characters follow it (the longest the rule looks
+ahead: an apostrophe and the two letters of 're), and one longer than a stretch
+goes through the transducer piece by piece.  So beside the row's text itself
+only ``HELD`` characters' words and their ids are in memory, however long the
+text: ids go to the digests and the decoder as they come.
 
 Decoding.  Ids become bytes, bytes become text through an incremental UTF-8
 state machine that holds back an unfinished character between blocks and puts
@@ -30,7 +38,10 @@ import codecs
 import hashlib
 import heapq
 import struct
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +52,9 @@ from layercake.llm import tokens
 from layercake.llm.common import arrow_batches
 
 CACHE_WORDS = 1_000_000
-WINDOW = 4096
+STRETCH = 1 << 16  # characters that the split rule reads at once
+HELD = 1 << 22     # characters whose words are held at once
+AHEAD = 2          # characters after a pre-token that may still change it
 
 
 def lookahead(merges: list[tuple[bytes, bytes]]) -> int:
@@ -70,7 +83,7 @@ class Transducer:
     """Encoder of one tokenizer file; ``encode`` gives ids as little-endian
     unsigned 32-bit integers."""
 
-    def __init__(self, path: str, window: int = WINDOW):
+    def __init__(self, path: str, window: int = 0, stretch: int = STRETCH):
         s = tokens.spec(path)
         model = s["model"]
         self.added = {t["content"]: t["id"] for t in s.get("added_tokens", [])}
@@ -84,7 +97,7 @@ class Transducer:
         order = np.argsort(keys := np.fromiter(self.rank, np.int64, len(self.rank)))
         self.pair_keys, self.pair_ranks = keys[order], np.fromiter(self.rank.values(), np.int64, len(keys))[order]
         self.lookahead = lookahead(merges)
-        self.window = max(window, 2 * self.lookahead + 2)
+        self.window, self.stretch = max(window, 2 * self.lookahead + 2), stretch
         self.text = {i: t for t, i in vocab.items()} | {i: t.encode() for t, i in self.added.items()}
         self.size = {i: len(t) for i, t in self.text.items()}
         self.split = regex.compile(tokens.SPLIT)
@@ -156,16 +169,14 @@ class Transducer:
                 held = held[end:]
         yield from self.merged(held)
 
-    def _word(self, word: str) -> bytes:
-        data = word.encode()
-        if len(data) <= self.window:
-            ids = self.merged(data)
-        else:
-            ids = list(self.stream(data[i:i + self.window] for i in range(0, len(data), self.window)))
+    def _pack(self, ids: list[int]) -> bytes:
         if min(ids, default=0) < 0:
             raise ValueError("a byte is not in the vocabulary")
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _slices(self, text: str, start: int, end: int) -> Iterator[bytes]:
+        return (text[i:min(i + self.window, end)].encode() for i in range(start, end, self.window))
+
     def merged_many(self, words: list[bytes]) -> list[bytes]:
         """``merged`` for many short words at once, as little-endian ids: each
         round makes the first of the lowest-ranked merges of every word."""
@@ -222,45 +233,86 @@ class Transducer:
         """Ids of words that the cache does not hold; short ones enter it."""
         short = [w for w in fresh if len(w) <= 64]
         self.cache.update(zip(short, self.merged_many([w.encode() for w in short])))
-        return {w: self._word(w) for w in fresh if len(w) > 64}
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text, as little-endian unsigned 32-bit integers."""
-        plain = [[t] if self.special is None or self.special.search(t) is None else self.special.split(t) for t in texts]
-        out, held, size = [], [], 0
-        for parts in plain:
-            held.append([[p] if p in self.added else self.split.findall(p) for p in parts])
-            size += sum(map(len, parts))
-            if size > 1 << 23:  # bounds the word lists held at once
-                out += self._joined(held)
-                held, size = [], 0
-        return out + self._joined(held)
-
-    def _joined(self, held: list[list[list[str]]]) -> list[bytes]:
-        words = {w for parts in held for part in parts for w in part}
+        return {w: self._pack(list(self.stream(self._slices(w, 0, len(w))))) for w in fresh if len(w) > 64}
+
+    def _plain(self, text: str, start: int, end: int) -> Iterator[list[str] | tuple[int, int]]:
+        """Pre-tokens of a part of ``text`` without added tokens, a stretch at
+        a time; the place of one that is longer than a stretch."""
+        while start < end:
+            stop = min(start + self.stretch, end)
+            words = self.split.findall(text, start, stop)
+            if stop == end:
+                yield words
+                return
+            place = stop
+            while words and place + AHEAD > stop:
+                place -= len(words.pop())
+            if words:
+                yield words
+            else:  # the rule covers every character, so a match starts here
+                place = self.split.match(text, start, end).end()
+                yield start, place
+            start = place
+
+    def _parts(self, text: str) -> Iterator[list[str] | tuple[int, int] | int]:
+        """``_plain`` for a whole text, with the ids of added tokens between."""
+        at = 0
+        for m in self.special.finditer(text) if self.special else ():
+            yield from self._plain(text, at, m.start())
+            yield self.added[m.group()]
+            at = m.end()
+        yield from self._plain(text, at, len(text))
+
+    def encode_stream(self, texts: Iterable[str]) -> Iterator[tuple[int, bytes]]:
+        """(number of the text, next ids of it), texts in order; a text's ids
+        come in one or more pieces, none if it has none."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for part in self._parts(text):
+                if isinstance(part, tuple):
+                    yield from self._emit(held)
+                    held, size, block = [], 0, []
+                    for t in self.stream(self._slices(text, *part)):
+                        block.append(t)
+                        if len(block) == self.stretch:
+                            yield i, self._pack(block)
+                            block = []
+                    yield i, self._pack(block)
+                    continue
+                held.append((i, part))
+                size += self.stretch if isinstance(part, int) else sum(map(len, part))
+                if size > HELD:
+                    yield from self._emit(held)
+                    held, size = [], 0
+        yield from self._emit(held)
+
+    def _emit(self, held: list[tuple[int, list[str] | int]]) -> Iterator[tuple[int, bytes]]:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         known = self.cache
-        long = self._words({w for w in words if w not in known and w not in self.added})
-        marks = {t: struct.pack("<I", i) for t, i in self.added.items()}
-        if long or any(len(parts) > 1 for parts in held):
-            find = lambda w: long[w] if w in long else known[w]
-            return [b"".join(marks[part[0]] if len(part) == 1 and part[0] in marks else b"".join(map(find, part))
-                             for part in parts) for parts in held]
-        return [b"".join(map(known.__getitem__, parts[0])) if parts[0] != [] else b"" for parts in held]
+        fresh = {w for _, part in held if not isinstance(part, int) for w in part if w not in known}
+        long = self._words(fresh)
+        for i, part in held:
+            if isinstance(part, int):
+                yield i, struct.pack("<I", part)
+            elif long:
+                yield i, b"".join([long[w] if w in long else known[w] for w in part])
+            else:
+                yield i, b"".join(map(known.__getitem__, part))
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        return b"".join(ids for _, ids in self.encode_stream([text]))
 
-    def decode(self, ids: np.ndarray, block: int = 1 << 16):
-        """Text of ids, block by block."""
+    def decode(self, blocks: Iterable[np.ndarray]) -> Iterator[str]:
+        """Text of ids that come in blocks, block by block."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        for i in range(0, len(ids), block):
-            part = ids[i:i + block]
-            sizes = self.sizes[part]
-            ends = np.cumsum(sizes)
-            places = np.arange(ends[-1]) + np.repeat(self.starts[part] - ends + sizes, sizes)
-            yield machine.decode(self.data[places].tobytes())
+        for ids in blocks:
+            if len(ids):
+                sizes = self.sizes[ids]
+                ends = np.cumsum(sizes)
+                places = np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends + sizes, sizes)
+                yield machine.decode(self.data[places].tobytes())
         yield machine.decode(b"", final=True)
 
 
@@ -273,14 +325,28 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     arrow_batches(docs.sparkSession)
 
+    def digests(coder, pieces):
+        """n_tokens and both digests of one text, from its ids as they come."""
+        n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+        def blocks():
+            nonlocal n
+            for _, piece in pieces:
+                n += len(piece) // 4
+                ids.update(piece)
+                yield np.frombuffer(piece, "<u4")
+
+        for text in coder.decode(blocks()):
+            decoded.update(text.encode())
+        return n, ids.hexdigest(), decoded.hexdigest()
+
     def run(batches):
         for b in batches:
-            coder, rows = load(tokenizer), []
-            for ids in coder.encode_many([t or "" for t in b.column(1).to_pylist()]):
-                decoded = hashlib.sha256()
-                for part in coder.decode(np.frombuffer(ids, "<u4")):
-                    decoded.update(part.encode())
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()))
+            coder = load(tokenizer)
+            rows = [digests(coder, ())] * b.num_rows
+            texts = (t.as_py() or "" for t in b.column(1))
+            for i, pieces in groupby(coder.encode_stream(texts), itemgetter(0)):
+                rows[i] = digests(coder, pieces)
             n, a, d = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())],

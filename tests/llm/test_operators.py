@@ -244,6 +244,36 @@ def test_transducer_needs_no_more_than_its_window():
         assert list(coder.stream(chunks)) == coder.merged(data)
 
 
+@pytest.mark.parametrize("stretch", [1, 5, 7, 64])
+def test_split_rule_in_stretches(stretch):
+    coder, library = bpe.Transducer(tokenizer_path(), stretch=stretch), tokens.load(tokenizer_path()).library
+    rng = random.Random(stretch)
+    parts = ["'re", "'ve", "'", "'s", " ", "  ", "   ", "\n", "\t", "the", "a", "12", "999999", "!!", "!'", "é", "😀", "'ll",
+             "<|endoftext|>", "<|endof", "x" * 40, " " * 30, "'l", "l", "e", "=-" * 20, "日本語"]
+    for _ in range(300):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 40)))
+        ids = np.frombuffer(coder.encode(text), "<u4")
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == want
+        at = rng.randint(0, len(ids))
+        assert "".join(coder.decode([ids[:at], ids[at:]])) == library.decode(want, skip_special_tokens=False)
+
+
+def test_bpe_streams_words_longer_than_window_and_stretch(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefghij", k=bpe.STRETCH + 5000)) + "<|endoftext|> end",
+             "a " + "é" * (2 * bpe.STRETCH) + "'re", " " * (bpe.STRETCH + 3) + "x", "=" * 3000 + " b", None, "", "one"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(6, "one"), (None, "two")], "doc_id long, text string")
+    library = tokens.load(tokenizer_path()).library
+    want = []
+    for i, t in [*enumerate(texts), (6, "one"), (None, "two")]:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                     hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    got = [tuple(r) for r in bpe.round_trip(docs, tokenizer_path()).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 VECTORS = [[1.0, 0.0, 0.0], [1.0, 0.0, 0.0], [0.99, 0.05, 0.0], [0.0, 1.0, 0.0], None, [0.0, 0.0, 0.0],
            [float("nan"), 1.0, 0.0], [None, 1.0, 0.0], [float("inf"), 0.0, 0.0], [], [2.0, 0.0, 0.0], [1.0, 0.0]]
 
