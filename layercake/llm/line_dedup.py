@@ -1,12 +1,15 @@
 """Removal of repeated runs of lines by winnowing over line hashes.
 
 Every line (text between line feeds) has a 64-bit hash.  In each window of
-``run`` lines the smallest hash, the last of equal ones, is the window's
-fingerprint.  Its choice depends on the window alone, so two places that share
-a run of ``run`` lines share a fingerprint at the same place of the run:
-nothing of that length is missed.  Fingerprints that occur once are dropped;
-around the others the match is extended both ways to the full windows that
-chose them, and windows with equal lines are brought together.  Of each, the
+``run`` lines the place of the smallest hash, the last of equal ones, is the
+window's fingerprint.  Its choice depends on the window alone, so two places
+that share a run of ``run`` lines share a fingerprint at the same place of the
+run: nothing of that length is missed.  Neighbouring windows mostly choose the
+same place, so about two fingerprints stand for ``run + 1`` lines, and only
+they leave their document, each with the lines around it that its windows
+cover.  The places of equal fingerprints are joined; those alone of their kind
+go.  From each that stays the match is extended both ways, to the windows that
+chose it, and windows with equal lines are brought together.  Of each, the
 first place (smallest doc_id, then position) stays; every line of every other
 place is deleted.  Overlapping windows join up, so a deleted run is as long as
 the whole match.
@@ -30,18 +33,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 RUN = 3
 
 
-def _windows(lines: DataFrame, run: int) -> DataFrame:
-    """doc, key, at, fingerprint, anchor, content of every window of ``run`` lines."""
-    def window(at: Column) -> Column:
-        anchor = F.array_min(F.transform(F.sequence(at, at + (run - 1)), lambda j: F.struct(
-            F.get("hashes", j).alias("hash"), (-j).alias("back"))))
-        return F.struct(at.alias("at"), anchor.alias("anchor"),
-                        F.xxhash64(F.slice("hashes", at + 1, run)).alias("content"))
+def _fingerprints(lines: DataFrame, run: int) -> DataFrame:
+    """doc, key, hash, place, from, around of every fingerprint: its line, and
+    the lines of all windows that chose it, the first of which starts at from."""
+    def chosen(at: Column) -> Column:
+        return -F.array_min(F.transform(F.sequence(at, at + (run - 1)), lambda j: F.struct(
+            F.get("hashes", j).alias("hash"), (-j).alias("back"))))["back"]
 
     starts = F.sequence(F.lit(0), F.size("hashes") - run)
-    return (lines.where(F.size("hashes") >= run).select("doc", "key", F.explode(F.transform(starts, window)).alias("w"))
-            .select("doc", "key", "w.at", F.col("w.anchor.hash").alias("fingerprint"),
-                    (-F.col("w.anchor.back")).alias("anchor"), "w.content"))
+    places = lines.where(F.size("hashes") >= run).select("doc", "key", "hashes", F.transform(starts, chosen).alias("places"))
+    # the windows that choose one place follow one another; here are the first of them
+    firsts = F.filter(F.transform("places", lambda p, at: F.struct(p.alias("place"), at.alias("from"))),
+                      lambda w: (w["from"] == 0) | (F.get("places", w["from"] - 1) != w["place"]))
+
+    def around(w: Column) -> Column:
+        n = F.size(F.filter(F.slice("places", w["from"] + 1, run), lambda p: p == w["place"]))
+        return F.struct(w["place"].alias("place"), w["from"].alias("from"), F.get("hashes", w["place"]).alias("hash"),
+                        F.slice("hashes", w["from"] + 1, n + (run - 1)).alias("around"))
+
+    return places.select("doc", "key", F.explode(F.transform(firsts, around)).alias("f")).select("doc", "key", "f.*")
+
+
+def _extended(matched: DataFrame, run: int) -> DataFrame:
+    """doc, key, at, content of every window that chose one of the fingerprints."""
+    window = F.transform(F.sequence(F.lit(0), F.size("around") - run), lambda j: F.struct(
+        (F.col("from") + j).alias("at"), F.xxhash64(F.slice("around", j + 1, run)).alias("content")))
+    return matched.select("doc", "key", F.explode(window).alias("w")).select("doc", "key", "w.at", "w.content")
 
 
 def repeated(docs: DataFrame, run: int = RUN) -> DataFrame:
@@ -49,14 +66,13 @@ def repeated(docs: DataFrame, run: int = RUN) -> DataFrame:
     lines = docs.where("text is not null").select(
         F.col("doc_id").alias("doc"), F.xxhash64("text").alias("key"),
         F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)).alias("hashes")).distinct()
-    windows = _windows(lines, run)
-    # a fingerprint counts once a place, however many windows chose it
-    chosen = windows.groupBy("fingerprint").agg(
-        F.min(F.struct("doc", "key", "anchor")).alias("first"), F.max(F.struct("doc", "key", "anchor")).alias("last"))
-    twice = chosen.where("first <> last").select("fingerprint")
-    matched = windows.join(twice, "fingerprint", "left_semi").select("doc", "key", "at", "content")
-    first = matched.groupBy("content").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
-    later = (matched.join(first.where("n > 1"), "content")
+    prints = _fingerprints(lines, run)
+    places = prints.groupBy("hash").agg(
+        F.min(F.struct("doc", "key", "place")).alias("first"), F.max(F.struct("doc", "key", "place")).alias("last"))
+    matched = prints.join(places.where("first <> last").select("hash"), "hash", "left_semi")
+    windows = _extended(matched, run)
+    first = windows.groupBy("content").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
+    later = (windows.join(first.where("n > 1"), "content")
              .where(F.struct("doc", "at") > F.col("first")))
     return later.groupBy("doc", "key").agg(F.collect_list("at").alias("starts"))
 
