@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from layercake.functions.exprs import (
     concat_null_propagating, int_avg, int_avg_over, int_div, month_diff, pct_text, round_ratio)
 
+from layercake.operators.distinct import distinct_words, roll_up
 from layercake.operators.windows import running_totals
+from layercake.session import materialize
 
 # Segment rule defaults (fixed values of the source reports).
 VIP_MIN_LIFESPAN_MONTHS = 12
@@ -61,6 +63,20 @@ def monthly_trend(fact: DataFrame, date_col="order_date", measure="sales_amount"
                 .orderBy("order_year", "order_month"))
 
 
+def distinct_trend(fact: DataFrame, date_col="order_date", customer="customer_key",
+                   product="product_key") -> DataFrame:
+    """Distinct customers and products by month, by year and over all time.
+
+    The fact is read once: years and the total come from the months' words."""
+    d = F.col(date_col)
+    words = distinct_words(fact.filter(d.isNotNull()),
+                           [F.year(d).alias("order_year"), F.month(d).alias("order_month")],
+                           [F.col(customer), F.col(product)])
+    words = materialize(words, fact.sparkSession, "distinct_words")
+    return roll_up(words, ["order_year", "order_month"], ["total_customers", "total_products"],
+                   {"month": 2, "year": 1, "all": 0})
+
+
 def _yearly_totals(fact, date_col, measure, price):
     d = F.col(date_col)
     return (fact.filter(d.isNotNull())

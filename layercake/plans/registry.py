@@ -191,6 +191,10 @@ def monthly_trend(spark, d):
     return analysis.monthly_trend(_wh(spark, d).fact_sales)
 
 
+def distinct_trend(spark, d):
+    return analysis.distinct_trend(_wh(spark, d).fact_sales)
+
+
 def cumulative_as_written(spark, d):
     return analysis.cumulative_as_written(_wh(spark, d).fact_sales)
 
@@ -415,4 +419,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     customers_report, products_report, products_report_by_product,
     csv_roundtrip, csv_text_forms, quarantine_counts, load_audit, layer_rebuild,
     cumulative_daily, report_views, silver_logs, collated_sales, collated_keep_latest, collated_lookup,
+    distinct_trend,
 ]}

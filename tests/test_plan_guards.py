@@ -11,9 +11,10 @@ from layercake.plans.registry import QUERIES  # noqa: E402
 
 # single-partition exchanges allowed only over provably bounded inputs:
 # a global sum's partial rows (one per partition), one row per year, one row
-# per table and commit (views) and one per table (logs)
+# per table and commit (views), one per table (logs), one per partition (total)
 BOUNDED_SINGLE_PARTITION = {"part_to_whole", "cumulative_as_written", "cumulative_intended",
-                            "report_views", "silver_logs"}
+                            "report_views", "silver_logs",
+                            "distinct_trend"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
