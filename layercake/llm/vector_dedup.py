@@ -11,8 +11,12 @@ precision.
 
 Join keys are 8-bit codes of the rotated components.  All comparisons before
 the verification are integer comparisons with the rounding error added to the
-radius, so no linked pair is lost and all tasks agree; a pair is emitted only
-by the first block that proposes it.  Within a block, vectors are ordered by
+radius, so no linked pair is lost and all tasks agree; a pair counts only
+in the first block that proposes it.  A pair so close that it is linked whatever
+the rounding is settled where it is proposed: the task adds it to the counts of
+both vectors and joins their components, so a dense cluster leaves one row a
+vector and task, not its pairs.  Only pairs near the limit are emitted for the
+verification.  Within a block, vectors are ordered by
 their first code (255 values) and cut into tiles of at most ``tile_rows``,
 heavy codes into several; tiles meet if their codes are within the radius.  So
 a task holds two tiles however the vectors cluster.  Equal vectors are brought
@@ -21,7 +25,8 @@ together first and count through their number.
 Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component link with nothing and stay; vectors of different lengths
 do not link; repeated rows are linked rows; a null vec_id takes no part and
-stays; an empty table gives an empty result; extra columns are ignored.
+stays; a vec_id that names different vectors has the links of all of them; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,10 +63,16 @@ def codes(x: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(unit @ rotation(x.shape[1]) / STEP), -127, 127).astype(np.int8)
 
 
-def candidates(a: np.ndarray, b: np.ndarray, block: int, blocks: list[np.ndarray], budget: float,
-               rows: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs (of codes a, of codes b) that ``block`` proposes first and
-    whose whole code distance allows a link."""
+def _settled_radius(budget: float, dim: int) -> int:
+    """Largest squared code distance that only pairs within ``budget`` have (-1: none)."""
+    steps = (math.sqrt(budget) - 1e-6) / STEP - math.sqrt(dim)
+    return math.floor(steps ** 2) if steps >= 0 else -1
+
+
+def candidates(a: np.ndarray, b: np.ndarray, block: int, blocks: list[np.ndarray], budget: float, rows: int = 1024):
+    """Row pairs (of codes a, of codes b) that ``block`` proposes first and whose
+    whole code distance allows a link, with that squared distance; in pieces of
+    at most 2^16 pairs."""
     dim = a.shape[1]
     cut = [_radius(budget * len(c) / dim, len(c)) for c in blocks]
     whole = _radius(budget, dim)
@@ -71,7 +82,6 @@ def candidates(a: np.ndarray, b: np.ndarray, block: int, blocks: list[np.ndarray
         return part, (part * part).sum(1)
 
     (pa_, na), (pb, nb) = sides(a), sides(b)
-    left, right = [], []
     for s in range(0, len(a), rows):
         near = na[s:s + rows, None] + nb[None, :] - 2 * (pa_[s:s + rows] @ pb.T) <= cut[block]
         i, j = np.divmod(np.flatnonzero(near), len(b))
@@ -79,35 +89,49 @@ def candidates(a: np.ndarray, b: np.ndarray, block: int, blocks: list[np.ndarray
         for t in range(0, len(i), 1 << 16):
             ii, jj = i[t:t + (1 << 16)], j[t:t + (1 << 16)]
             diff = (a[ii].astype(np.int32) - b[jj]) ** 2
-            ok = diff.sum(1) <= whole
+            far = diff.sum(1)
+            ok = far <= whole
             for c in range(block):
                 ok[ok] = diff[ok][:, blocks[c]].sum(1) > cut[c]
-            left.append(ii[ok])
-            right.append(jj[ok])
-    none = np.empty(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+            yield ii[ok], jj[ok], far[ok]
+
+
+def unite(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the components of the nodes i and j; labels holds each node's smallest."""
+    while len(i):
+        li, lj = labels[i], labels[j]
+        apart = li != lj
+        i, j, li, lj = i[apart], j[apart], li[apart], lj[apart]
+        np.minimum.at(labels, np.maximum(li, lj), np.minimum(li, lj))
+        while (labels[labels] != labels).any():
+            labels[:] = labels[labels]
+
 
+def meetings(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, block_dim: int = 8,
+             tile_rows: int = 4096, settle: bool = True) -> DataFrame:
+    """What the blocks propose among ``vectors`` (rep, size, embedding), all usable and different.
 
-def links(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, block_dim: int = 8,
-          tile_rows: int = 4096) -> DataFrame:
-    """Linked pairs (a < b) of ``vectors`` (rep, embedding), all usable and different."""
+    Columns a, b, n.  n null: a pair a < b to be verified.  Else n is the number
+    of rows (by ``size``) that vector a is surely linked with in one task, and b
+    a vector of a's component.  Without ``settle`` all rows are pairs."""
     arrow_batches(spark, 4096)
     budget = 2 - 2 * cosine
 
     def coded(batches):
         for batch in batches:
-            reps, dims = batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy()
+            reps, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            dims = batch.column(2).value_lengths().to_numpy()
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                c = codes(matrix(batch.column(1).take(pa.array(at))))
+                c = codes(matrix(batch.column(2).take(pa.array(at))))
                 for k, block in enumerate(_blocks(int(dim), block_dim)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), dim, np.int32)), pa.array(np.full(len(at), k, np.int32)),
-                         pa.array(c[:, block[0]].astype(np.int32)), pa.array(reps[at]),
-                         pa.array([r.tobytes() for r in c], pa.binary())], ["dim", "block", "x", "rep", "code"])
+                         pa.array(c[:, block[0]].astype(np.int32)), pa.array(reps[at]), pa.array(sizes[at]),
+                         pa.array([r.tobytes() for r in c], pa.binary())], ["dim", "block", "x", "rep", "size", "code"])
 
-    coded_rows = vectors.select("rep", "embedding").mapInArrow(
-        coded, "dim int, block int, x int, rep long, code binary")
+    coded_rows = vectors.select("rep", "size", "embedding").mapInArrow(
+        coded, "dim int, block int, x int, rep long, size long, code binary")
     rows = materialize(coded_rows, spark, "vector_codes")
     # at most 255 values of x for a block: a small table whatever the rows
     tiles = (rows.groupBy("dim", "block", "x").agg(F.count("*").alias("n"))
@@ -125,12 +149,13 @@ def links(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, block_d
         data = b"".join(table.column("code").to_pylist())
         return pa.table({"dim": first["dim"], "block": first["block"], "tile": first["tile"], "part": first["part"],
                          "reps": pa.array([table.column("rep").to_numpy().tobytes()], pa.binary()),
+                         "sizes": pa.array([table.column("size").to_numpy().tobytes()], pa.binary()),
                          "codes": pa.array([data], pa.binary())})
 
     packed = (rows.join(tiles.select("dim", "block", "x", "tile", "parts"), ["dim", "block", "x"])
               .withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
-              .select("dim", "block", "tile", "part", "rep", "code").groupBy("dim", "block", "tile", "part")
-              .applyInArrow(pack, "dim int, block int, tile int, part int, reps binary, codes binary"))
+              .select("dim", "block", "tile", "part", "rep", "size", "code").groupBy("dim", "block", "tile", "part")
+              .applyInArrow(pack, "dim int, block int, tile int, part int, reps binary, sizes binary, codes binary"))
     packed = materialize(packed, spark, "vector_tile_rows")
 
     # which tiles meet: by their spans of x, each pair of tiles and parts once
@@ -145,25 +170,45 @@ def links(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, block_d
             .select("*", F.explode(F.expr("sequence(0, parts2 - 1)")).alias("part2"))
             .where("tile < tile2 or part <= part2"))
     other = packed.select("dim", "block", F.col("tile").alias("tile2"), F.col("part").alias("part2"),
-                          F.col("reps").alias("reps2"), F.col("codes").alias("codes2"))
+                          F.col("reps").alias("reps2"), F.col("sizes").alias("sizes2"), F.col("codes").alias("codes2"))
     work = (meet.join(packed, ["dim", "block", "tile", "part"]).join(other, ["dim", "block", "tile2", "part2"])
             .withColumn("same", F.expr("tile = tile2 and part = part2"))
-            .select("dim", "block", "same", "reps", "codes", "reps2", "codes2"))
+            .select("dim", "block", "same", "reps", "sizes", "codes", "reps2", "sizes2", "codes2"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def meet_tiles(batches):
         for batch in batches:
-            for dim, block, same, r1, c1, r2, c2 in zip(*(c.to_pylist() for c in batch.columns)):
+            for dim, block, same, r1, s1, c1, r2, s2, c2 in zip(*(c.to_pylist() for c in batch.columns)):
                 a, b = (np.frombuffer(c, np.int8).reshape(-1, dim) for c in (c1, c2))
-                ra, rb = np.frombuffer(r1, np.int64), np.frombuffer(r2, np.int64)
-                i, j = candidates(a, b, block, _blocks(dim, block_dim), budget)
-                ii, jj = ra[i], rb[j]
-                if same:
-                    ii, jj = ii[i < j], jj[i < j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ii, jj)), pa.array(np.maximum(ii, jj))], ["a", "b"])
+                ra, rb, sa, sb = (np.frombuffer(x, np.int64) for x in (r1, r2, s1, s2))
+                # the nodes of this task: both tiles' rows, or the one tile's
+                reps, at = (ra, 0) if same else (np.concatenate([ra, rb]), len(ra))
+                labels, linked = np.arange(len(reps)), np.zeros(len(reps), np.int64)
+                sure = _settled_radius(budget, dim) if settle else -1
+                for i, j, far in candidates(a, b, block, _blocks(dim, block_dim), budget):
+                    if same:
+                        i, j, far = (x[i < j] for x in (i, j, far))
+                    near = far <= sure
+                    u, v = i[near], j[near]
+                    np.add.at(linked, u, sb[v])
+                    np.add.at(linked, v + at, sa[u])
+                    unite(labels, u, v + at)
+                    u, v = ra[i[~near]], rb[j[~near]]
+                    if len(u):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)),
+                                                          pa.nulls(len(u), pa.int64())], schema=schema)
+                some = np.flatnonzero(linked)
+                yield pa.RecordBatch.from_arrays([pa.array(reps[some]), pa.array(reps[labels[some]]),
+                                                  pa.array(linked[some])], schema=schema)
 
     arrow_batches(spark, 8)
-    proposed = materialize(work.repartition(max(2, 3 * spark.sparkContext.defaultParallelism))
-                           .mapInArrow(meet_tiles, "a long, b long"), spark, "vector_candidates")
+    met = (work.repartition(max(2, 3 * spark.sparkContext.defaultParallelism))
+           .mapInArrow(meet_tiles, "a long, b long, n long"))
+    return materialize(met, spark, "vector_meetings")
+
+
+def verified(spark: SparkSession, vectors: DataFrame, proposed: DataFrame, cosine: float = 0.95) -> DataFrame:
+    """The pairs of ``proposed`` (a, b) whose vectors (rep, embedding) have that cosine."""
     arrow_batches(spark, 4096)
     ends = vectors.select("rep", "embedding")
     sided = (proposed.join(ends.toDF("a", "va"), "a").join(ends.toDF("b", "vb"), "b").select("a", "b", "va", "vb"))
@@ -182,16 +227,27 @@ def links(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, block_d
     return materialize(sided.mapInArrow(verify, "a long, b long").distinct(), spark, "vector_links")
 
 
+def links(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, **options) -> DataFrame:
+    """All linked pairs (a < b) of ``vectors`` (rep, embedding), all usable and
+    different; a dense cluster has many, see ``dedup``."""
+    vectors = vectors.withColumn("size", F.lit(1).cast("long"))
+    return verified(spark, vectors, meetings(spark, vectors, cosine, settle=False, **options).select("a", "b"), cosine)
+
+
 def dedup(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, **options) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding)."""
     vectors = vectors.select("vec_id", "embedding")
     good = usable() & F.col("vec_id").isNotNull()
     reps = materialize(classes(vectors.where(good)), spark, "vector_classes")
-    pairs = links(spark, reps, cosine, **options)
+    met = meetings(spark, reps, cosine, **options)
+    pairs = verified(spark, reps, met.where("n is null").select("a", "b"), cosine)
+    settled = met.where("n is not null")
     sizes = reps.select("rep", "size")
     both = pairs.union(pairs.select("b", "a")).toDF("rep", "other")
-    linked = both.join(sizes.toDF("other", "other_size"), "other").groupBy("rep").agg(F.sum("other_size").alias("linked"))
-    parts = connected_components(spark, pairs, "vector_components").toDF("rep", "component")
+    counts = both.join(sizes.toDF("other", "n"), "other").select("rep", "n").union(settled.select("a", "n"))
+    linked = counts.groupBy("rep").agg(F.sum("n").alias("linked"))
+    joined = settled.where("a <> b").select("a", "b").union(pairs)
+    parts = connected_components(spark, joined, "vector_components").toDF("rep", "component")
     by_class = (reps.join(linked, "rep", "left").join(parts, "rep", "left")
                 .select(F.col("embedding").alias("_v"), (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n"),
                         F.coalesce("component", "rep").alias("component")))
