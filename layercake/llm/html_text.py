@@ -40,7 +40,7 @@ noise nodes are joined back, by host, and that join may be split.
 
 Text: references decoded, white space within a block one space, trimmed,
 blocks joined by one space.  Defined results: a null or empty html gives an
-empty text; a null or odd url is a host of its own whose tree is not used;
+empty text; a url that is null or names no host has no tree;
 unclosed, misnested or cut-off markup is read to its end; very long pages are
 read whole; repeated rows give equal results; an empty table gives an empty
 result; extra columns are ignored.
@@ -51,11 +51,10 @@ from __future__ import annotations
 import html
 import math
 import re
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from layercake.llm.common import arrow_batches, materialize
 
@@ -255,11 +254,12 @@ def main_text(source: str, noise: frozenset = frozenset()) -> str:
     return " ".join(b[0] for b in blocks)
 
 
-def host_of(url: str | None) -> str | None:
-    try:
-        return urlsplit(url or "").hostname or None
-    except ValueError:
-        return None
+def host_of(url: str = "url") -> Column:
+    """Lower-case host of a URL that names one, however odd the rest of it; else null.
+
+    Statistics and removal both use it, so no page is judged by one and not the other."""
+    host = F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@\s]+)", 1)
+    return F.nullif(F.lower(host), F.lit(""))
 
 
 def _surroundings(blocks) -> dict[int, int]:
@@ -282,10 +282,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     def walk(batches):
         for b in batches:
             rows = []
-            for url, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                host = host_of(url)
-                if host is None or not source:
-                    continue
+            for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 page = Page(source)
                 blocks = [(nodes[1], _key(2, text), len(text)) for text, nodes, *_ in candidates(page)[0] if nodes]
                 whole = _key(3, repr(blocks))
@@ -297,7 +294,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
                 ["host", "node", "kind", "value", "around"])
 
-    values = (pages.select("url", "html").mapInArrow(walk, "host string, node long, kind int, value long, around long")
+    judged = pages.select(host_of().alias("host"), "html").where("host is not null and html <> ''")
+    values = (judged.mapInArrow(walk, "host string, node long, kind int, value long, around long")
               .distinct().groupBy("host", "node", "kind", "value").agg(F.count("*").alias("n")))
     # per node and kind: sum n and sum n ln n are enough for either entropy
     sums = values.groupBy("host", "node", "kind").agg(
@@ -316,8 +314,7 @@ def extract(spark: SparkSession, pages: DataFrame, threshold: float = 0.3, least
     pages = pages.select("page_id", "url", "html")
     noise = materialize(style_tree(pages).where((F.col("importance") < threshold) & (F.col("pages") >= least_pages))
                         .groupBy("host").agg(F.collect_list("node").alias("noise")), spark, "noise_nodes")
-    host = F.expr("lower(try_parse_url(url, 'HOST'))")
-    joined = pages.withColumn("host", host).join(noise, "host", "left").select("page_id", "url", "html", "noise")
+    joined = pages.withColumn("host", host_of()).join(noise, "host", "left").select("page_id", "url", "html", "noise")
 
     def run(batches):
         for b in batches:
