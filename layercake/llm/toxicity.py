@@ -6,10 +6,16 @@ applies it to every text.
 * Folding maps letters one to one: lower case, accents dropped, look-alike
   Cyrillic, Greek and full-width letters to Latin, digits and signs that stand
   for letters ("1d10t", "$cum") to those letters.
+* A sign between letters may also end a word ("idiot!stupid").  Such a run of
+  letters and signs is read three ways - all signs folded, "!" as an end, every
+  sign as an end - and the reading with the largest weight counts (of equal
+  ones the first).
 * A word is a run of letters after folding.  Lexicon entries are words and
   word beginnings; of the entries that match at a word's start the longest
   counts.  An entry inside a longer word does not match.
-* A hit inside an exception phrase ("trash can") does not count.
+* A hit inside an exception phrase ("trash can") does not count.  Besides a few
+  given phrases, ``fit`` learns pairs of words around a hit that at least
+  ``min_docs`` clean texts have, and no larger a share of the toxic ones.
 * score = logistic(a + b*x1 + c*x2), with x1 = log(1 + W) and
   x2 = log(1 + 100 W / words) for the summed weight W of the hits.
 
@@ -29,8 +35,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -67,13 +75,23 @@ def _table() -> dict[int, str]:
 
 
 # a sign next to a letter on its right, or between letters and signs that lead to a letter
-_SIGN = re.compile("[" + re.escape("".join(SIGNS)) + r"]+(?=[^\W\d_])")
+_SIGNS = "[" + re.escape("".join(SIGNS)) + "]"
+_SIGN = re.compile(rf"(?<!{_SIGNS}){_SIGNS}++(?=[^\W\d_])")
+_RUN = re.compile(rf"(?:[^\W\d_]|{_SIGNS})++")
+_BETWEEN = re.compile(rf"[^\W\d_]{_SIGNS}++[^\W\d_]")
+
+
+def _letters(text: str) -> str:
+    return text.lower().translate(_table())
+
+
+def _signs(text: str) -> str:
+    return _SIGN.sub(lambda m: "".join(SIGNS[c] for c in m[0]), text)
 
 
 def fold(text: str) -> str:
     """Folded text of the same length in words; see the module text."""
-    text = text.lower().translate(_table())
-    return _SIGN.sub(lambda m: "".join(SIGNS[c] for c in m[0]), text)
+    return _signs(_letters(text))
 
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -112,10 +130,9 @@ class Matcher:
         if self.size:
             self.automaton.make_automaton()
 
-    def weigh(self, text: str) -> tuple[float, int]:
-        words = _WORD.findall(fold(text))
-        if not self.size or not words:
-            return 0.0, len(words)
+    def _hits(self, words: list[str]) -> tuple[dict[int, float], list[int]]:
+        """Weight of each hit outside exceptions by the place of its word's
+        leading space, and the places of all hits."""
         best: dict[int, tuple[int, float]] = {}
         spared = []
         for end, (size, weight) in self.automaton.iter(" " + " ".join(words) + " "):
@@ -124,7 +141,39 @@ class Matcher:
                 spared.append((start, end))
             elif size > best.get(start, (0, 0.0))[0]:
                 best[start] = (size, weight)
-        return sum(w for s, (_, w) in best.items() if not any(a <= s < b for a, b in spared)), len(words)
+        starts = sorted(best)
+        out = {s for a, b in spared for s in starts[bisect_left(starts, a):bisect_left(starts, b)]}
+        return {s: w for s, (_, w) in best.items() if s not in out}, starts
+
+    def _best_reading(self, run: re.Match) -> str:
+        if not _BETWEEN.search(run[0]):
+            return run[0]
+        ended = re.sub(_SIGNS, " ", run[0])
+        readings = [_signs(run[0]), _signs(run[0].replace("!", " ")), ended]
+        return max(readings, key=lambda r: sum(self._hits(_WORD.findall(r))[0].values()))
+
+    def words(self, text: str) -> list[str]:
+        text = _letters(text)
+        if self.size and _BETWEEN.search(text):
+            text = _RUN.sub(self._best_reading, text)
+        return _WORD.findall(_signs(text))
+
+    def weigh(self, text: str) -> tuple[float, int]:
+        words = self.words(text)
+        if not self.size or not words:
+            return 0.0, len(words)
+        return sum(self._hits(words)[0].values()), len(words)
+
+    def phrases(self, text: str) -> set[str]:
+        """Pairs of neighbouring words of which one is a hit."""
+        words = self.words(text)
+        if not self.size or not words:
+            return set()
+        places = dict(zip(accumulate([0, *(len(w) + 1 for w in words)]), range(len(words))))
+        found = set()
+        for at in map(places.__getitem__, self._hits(words)[1]):
+            found.update(" ".join(words[k:k + 2]) for k in (at - 1, at) if 0 <= k < len(words) - 1)
+        return found
 
 
 def _features(weight, words):
@@ -191,10 +240,30 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column |
            .orderBy(F.desc("gain"), "entry").limit(max_entries).collect())
     weights = _select({r["entry"]: (float(r["odds"]), r["n"]) for r in top})
     lexicon = Lexicon(weights, (0.0, 0.0, 0.0))
+    exceptions = EXCEPTIONS + _learn_exceptions(sample, lexicon, toxic, clean, min_docs, max_entries)
+    lexicon = Lexicon(weights, (0.0, 0.0, 0.0), exceptions)
     got = _weigh(sample.select("toxic", "text"), lexicon, "text").select("toxic", "_weight", "_words").collect()
     y = np.array([r[0] for r in got], float)
     beta = logistic(_features([r[1] for r in got], [r[2] for r in got]), y)
-    return Lexicon(weights, tuple(float(b) for b in beta))
+    return Lexicon(weights, tuple(float(b) for b in beta), exceptions)
+
+
+def _learn_exceptions(sample: DataFrame, lexicon: Lexicon, toxic: int, clean: int, min_docs: int,
+                      most: int) -> tuple[str, ...]:
+    """Phrases of ``sample`` (toxic, text) around hits that speak for a clean text; at most ``most``."""
+    def spread(batches):
+        matcher = Matcher(lexicon)
+        for b in batches:
+            found = [sorted(matcher.phrases(t)) for t in b.column(1).to_pylist()]
+            flags = np.repeat(np.array(b.column(0).to_pylist(), np.int32), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(flags), pa.array([p for f in found for p in f], pa.string())],
+                                             ["toxic", "phrase"])
+
+    counted = (sample.select("toxic", "text").mapInArrow(spread, "toxic int, phrase string").groupBy("phrase")
+               .agg(F.count_if(F.col("toxic") == 0).alias("c"), F.count_if(F.col("toxic") == 1).alias("t")))
+    share = (F.col("t") + 0.5) / (toxic + 1) / ((F.col("c") + 0.5) / (clean + 1))
+    rows = counted.where(F.col("c") >= min_docs).where(share <= 1).orderBy(F.desc("c"), "phrase").limit(most).collect()
+    return tuple(r["phrase"] for r in rows if r["phrase"] not in EXCEPTIONS)
 
 
 def _select(found: dict[str, tuple[float, int]]) -> dict[str, float]:

@@ -1,10 +1,12 @@
 """Each operator against a brute-force version on small, odd tables."""
 
 import hashlib
+import math
 import random
 import re
 import tempfile
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -301,6 +303,40 @@ def test_vector_dedup(spark):
         assert got[i] == (sum(a == i for a, _ in pairs), parts[i], parts[i] == i), i
 
 
+def test_vector_dedup_settles_dense_clusters(spark):
+    rng = np.random.default_rng(5)
+    heart, ring = rng.standard_normal((2, 64))
+    spread = np.concatenate([np.full(150, 0.02), np.full(60, 0.22), np.full(40, 0.3)])
+    rows = [heart + s * rng.standard_normal(64) for s in spread] + [ring + 0.25 * rng.standard_normal(64) for _ in range(60)]
+    rows += [rows[3]] * 4 + list(rng.standard_normal((40, 64)))
+    x = np.array(rows, np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist(), i, "x") for i, v in enumerate(x)],
+                               "vec_id long, embedding array<float>, size int, rep string")
+    c = (x @ x.T) / np.linalg.norm(x, axis=1) / np.linalg.norm(x, axis=1)[:, None]
+    linked = c >= 0.95
+    np.fill_diagonal(linked, False)
+    parts = _components(range(len(x)), list(zip(*np.nonzero(linked))))
+    for tile in (4096, 32):
+        got = _rows(vector_dedup.dedup(spark, df, tile_rows=tile), "vec_id", "n_links", "component_id", "kept")
+        assert got == {i: (int(linked[i].sum()), parts[i], parts[i] == i) for i in range(len(x))}
+    usable = df.select(F.col("vec_id").alias("rep"), "embedding").dropDuplicates(["embedding"])
+    pairs = {(r["a"], r["b"]) for r in vector_dedup.links(spark, usable).collect()}
+    kept = [r["rep"] for r in usable.collect()]
+    assert pairs == {(a, b) for a in kept for b in kept if a < b and linked[a, b]}
+    # the 150 vectors around one point make 11,175 pairs, and few rows
+    heart_rows = vector_dedup.meetings(spark, usable.withColumn("size", F.lit(1).cast("long")).where("rep < 150"))
+    assert heart_rows.where("n is null").count() == 0 and heart_rows.count() <= 150 * 8
+
+
+def test_vector_dedup_of_null_and_repeated_vec_ids(spark):
+    rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (3, [1.0, 0.02]), (None, None)]
+    out = vector_dedup.dedup(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert len(out) == len(rows)
+    assert all(r["component_id"] == 1 for r in out if r["vec_id"] is not None)
+    assert all(r["n_links"] == 0 and r["kept"] for r in out if r["vec_id"] is None)
+    assert {r["n_links"] for r in out if r["vec_id"] == 1} == {3}
+
+
 def test_graph_search(spark):
     rows, schema = _vectors(spark)
     out = graph_search.nearest(spark, spark.createDataFrame(rows, schema), F.col("vec_id") % 5 == 0, k=4).collect()
@@ -356,6 +392,56 @@ def test_html(spark):
     assert got[30][0] == "a < b" and got[31][0] == "deep"
 
 
+@pytest.mark.parametrize("url", ["http://my_site.example.com/%d", "http://h.example/a b%d", "HTTP://u:p@H.example:80/x|%d",
+                                 "http://h.example/?q={%d}", "https://h.example/%%zz%d", "http://[::1]:8/%d"])
+def test_html_tree_of_odd_urls(spark, url):
+    page = "<body><div class=x><p>text %d</p></div><div class=y>same words</div></body>"
+    rows = [(k, url % k, page % k, "clash", k) for k in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, noise int")
+    assert _rows(html_text.extract(spark, df), "page_id", "text") == {k: (f"text {k}",) for k in range(8)}
+
+
+def test_html_hosts(spark):
+    urls = {"http://A.b/c": "a.b", "https://u@h:1?x": "h", "http:///x": None, "::": None, "": None, None: None,
+            "ftp://h#f": "h", "//h/x": None, "mailto:a@b": None}
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r[0]: r[1] for r in df.select("url", html_text.host_of()).collect()} == urls
+
+
+def test_html_style_tree_against_brute_force(spark):
+    rng = random.Random(2)
+    menu = "<ul><li>home</li><li>news</li></ul>"
+    pages = []
+    for k in range(40):
+        body = "".join(f"<p>{rng.choice(['shared', f'own {k}', f'pair {k // 2}'])} {i % 3}</p>" for i in range(rng.randrange(1, 5)))
+        pages.append((f"http://h{k % 2}.example/{k}", f"<body>{menu}<div class=c>{body}</div><i>by {k % 3}</i></body>"))
+    pages += pages[:6]
+    got = {(r["host"], r["node"]): (r["pages"], r["importance"]) for r in
+           html_text.style_tree(spark.createDataFrame(pages, "url string, html string")).collect()}
+    seen = {}
+    for url, source in pages:
+        page, host = html_text.Page(source), url.split("/")[2]
+        blocks = [(b[1][1], html_text._key(2, b[0]), len(b[0])) for b in html_text.candidates(page)[0] if b[1]]
+        around = html_text._surroundings(blocks)
+        for node, style in page.styles.items():
+            if node:
+                seen.setdefault((host, node), (set(), set()))[0].add((style, repr(blocks)))
+        for node, block, _ in blocks:
+            seen.setdefault((host, node), (set(), set()))[1].add((block, around[node]))
+
+    def value(items):
+        counts = list(Counter(v for v, _ in items).values())
+        m = sum(counts)
+        entropy = -sum(n / m * math.log(n / m) for n in counts)  # of the node's places over its values
+        return m, entropy / math.log(m) if m > 1 else 1.0
+
+    assert got.keys() == seen.keys() and len(got) > 8
+    for key, (styles, blocks) in seen.items():
+        style, content = value(styles)[1] if styles else None, value(blocks)[1] if blocks else None
+        importance = 1.0 if content is None else (content + max(content, style if style is not None else content)) / 2
+        assert got[key] == (max(len(styles), len(blocks)), pytest.approx(importance)), key
+
+
 def _main_texts(spark, pages):
     rows = [(k, f"http://h.example/{k}", p) for k, p in enumerate(pages)]
     out = _rows(html_text.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id", "text")
@@ -426,6 +512,57 @@ def test_toxicity(spark):
     assert phrase.weigh("the trash can")[0] == 0 and phrase.weigh("tra5h!")[0] == 1
 
 
+def test_toxicity_readings_of_signs():
+    words = toxicity.Matcher(toxicity.Lexicon({"idiot ": 1.0, "stupid ": 1.0, "trash ": 1.0}, (0, 0, 0)))
+    for text, weight, count in (("idiot!stupid", 2, 2), ("id!ot", 1, 1), ("1d10t!stup1d", 2, 2), ("x idiot4stupid", 2, 3),
+                                ("mp3player", 0, 1), ("trash!can", 0, 1), ("!!!", 0, 0), ("", 0, 0)):
+        assert words.weigh(text) == (weight, count), text
+    for long in ("1" * 300_000, "a" * 300_000, "a1" * 100_000, "idiot " * 50_000 + "trash can " * 20_000):
+        assert words.weigh(long)[0] == 50_000 * long.startswith("idiot")
+
+
+def test_toxicity_against_plain_matching(spark):
+    """Weights and scores of a second matcher, without automaton, word by word."""
+    rng = random.Random(8)
+    weights, exceptions = {"bad ": 1.5, "ba": 0.5, "rude": 2.0, "vile ": 3.0}, ("bad luck", "rude awakening call")
+    lexicon = toxicity.Lexicon(weights, (-2.0, 0.7, 0.4), exceptions)
+    some = ["bad", "b4d", "BAD", "bat", "rudely", "rude", "vile", "viler", "luck", "awakening", "call", "x", "bаd", "-", "9"]
+    texts = [" ".join(rng.choices(some, k=rng.randrange(25))) for _ in range(300)]
+
+    def plain(text):
+        words = toxicity._WORD.findall(toxicity.fold(text))
+        out, total = set(), 0.0
+        for phrase in exceptions:
+            p = phrase.split()
+            out.update(k + n for k in range(len(words)) if words[k:k + len(p)] == p for n in range(len(p)))
+        for k, w in enumerate(words):
+            fits = [e for e in weights if (w + " ").startswith(e)]
+            if fits and k not in out:
+                total += weights[max(fits, key=len)]
+        return total, len(words)
+
+    got = _rows(toxicity.score(spark.createDataFrame([(i, t, 0, "x") for i, t in enumerate(texts)], SCHEMA), lexicon),
+                "doc_id", "score")
+    for i, text in enumerate(texts):
+        w, n = plain(text)
+        assert toxicity.Matcher(lexicon).weigh(text) == (pytest.approx(w), n)
+        z = -2 + 0.7 * math.log1p(w) + 0.4 * math.log1p(100 * w / max(n, 1))
+        assert got[i][0] == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_toxicity_learns_exceptions(spark):
+    rows, labels = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        rows.append((i, f"zorg you w{i} zorg" if bad else f"zorg beetle w{i}" if i % 40 == 1 else f"plain words w{i}", i, "x"))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.fit(spark, docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert "zorg beetle" in model.exceptions and "zorg you" not in model.exceptions
+    got = _rows(toxicity.score(docs, model), "doc_id", "score")
+    assert all((got[i][0] >= 0.5) == bool(y) for i, y in labels)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
