@@ -48,3 +48,28 @@ def test_dense_key_plan_has_no_single_partition_exchange(spark):
     plan = keyed._jdf.queryExecution().executedPlan().toString()
     # the only global window is over the per-partition counts (4 rows)
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+def test_lookup_leaves_the_facts_where_they_are(spark, monkeypatch):
+    from layercake.operators import keys
+    facts = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("x", 5)], "k string, n int")
+    dim = spark.createDataFrame([("a", 10, "y" * 50), ("b", 20, "z"), ("c", 30, None), (None, 40, "")],
+                                "name string, sk long, more string").repartition(3)
+
+    def looked_up():
+        out = keys.lookup_surrogate(facts, dim, F.col("k"), F.col("name"), ["sk"])
+        return out._jdf.queryExecution().executedPlan().toString(), sorted((r["n"], r["sk"]) for r in out.collect())
+
+    want = [(1, 10), (2, 20), (3, 20), (4, None), (5, None)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan, rows = looked_up()
+        assert rows == want and "BroadcastHashJoin" in plan
+        monkeypatch.setattr(keys, "LOOKUP_BYTES", 0)
+        plan, rows = looked_up()
+        assert rows == want and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert keys.lookup_bytes(dim.select("name", "sk")) == 4 * 24 + 3
+    assert keys.lookup_bytes(dim.limit(0)) == 0
