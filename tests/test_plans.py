@@ -72,3 +72,27 @@ def test_dimension_keys_dense_and_unique(spark, wh):
 
 def test_fact_keeps_every_sale(spark, wh):
     assert wh.fact_sales.count() == wh.silver["crm_sales_details"].count()
+
+
+def test_products_report_deals_the_sales_once(spark, monkeypatch):
+    """One shuffle of the sales, and no copies of them for the distinct counts."""
+    fact = spark.createDataFrame(
+        [(1, "2020-01-01", "o1", 1, 10, 1, 10), (1, "2020-01-01", "o1", 2, 10, 1, 10), (1, "2020-01-01", "o2", 2, 20, 2, 10),
+         (1, None, "o3", None, 10, 1, 10), (2, "2020-02-01", "o1", 1, 7, 0, 10), (2, "2020-02-01", "o1", 1, 7, 1, None),
+         (None, "2020-02-01", "o1", 1, 7, 1, 7)],
+        "product_key long, order_date string, order_number string, customer_key long, sales_amount int, quantity int, "
+        "price int").withColumn("order_date", F.to_date("order_date"))
+    dim = spark.createDataFrame([(1, "a", "c", "s", 3), (2, "b", "c", "s", 4)],
+                                "product_key long, product_name string, category string, sub_category string, cost int")
+    plans = []
+
+    def kept(df, spark, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+        return df
+    monkeypatch.setattr(reports, "materialize", kept)
+    rows = reports.products_report(fact, dim, "2026-01-01").collect()
+    got = {(r["product_key"], r["average_selling_price"], r["recency"] is None): (
+        r["total_orders"], r["total_customers"], r["total_sales"]) for r in rows}
+    assert got == {(1, 10.0, False): (2, 2, 40), (1, 10.0, True): (1, 0, 10), (2, None, False): (1, 1, 7)}
+    sales = [x for x in plans[0] if "Exchange" in x or "Expand" in x]
+    assert len(sales) == 1 and "REPARTITION" in sales[0], sales
