@@ -45,6 +45,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -320,39 +321,58 @@ def _anchor_rows(docs: DataFrame, buckets: int, length: int, gram: int, limit: i
 
 
 CONTEXT = "hash binary, gram long, context binary, at int, doc long, key long, start int"
+SLICE = 1 << 16  # contexts told at once
+
+
+def _listed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit numbers packed in a column of lists of bytes, and the row of each."""
+    parts = column.flatten()
+    rows = np.repeat(np.arange(len(column)), pc.list_value_length(column).to_numpy(zero_copy_only=False))
+    sizes = pc.binary_length(parts).to_numpy(zero_copy_only=False)
+    return np.frombuffer(b"".join(parts.to_pylist()), np.uint64), np.repeat(rows, sizes // 8)
+
+
+def _cuts(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """data[begin:begin + size] for all of them."""
+    ends = np.cumsum(sizes)
+    bytes_ = data[np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    bounds = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(bytes_)])
 
 
 def _contexts(docs: DataFrame, length: int, gram: int, buckets: int, hot: np.ndarray) -> DataFrame:
     """CONTEXT of every repeated anchor of ``docs`` (doc, key, text, grams),
-    with bucket: by anchor, or below zero for ``hot`` anchors."""
+    with bucket: by anchor, or below zero for ``hot`` anchors.  Only the latter
+    are told with hash and gram; the others meet as bytes."""
     names = ["hash", "gram", "context", "at", "doc", "key", "start", "bucket"]
 
     @steady
     def run(batches):
         for b in batches:
-            ids, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            grams = [np.concatenate([np.frombuffer(x, np.uint64) for x in g]) for g in b.column(3).to_pylist()]
+            ids, keys = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+            grams, owner = _listed(b.column(3))
             for first, data, offsets in _text_blocks(b.column(2)):
                 at, found, begin, end = anchored(data, offsets, length, gram)
                 row = np.searchsorted(offsets, at, "right") - 1
-                cuts = np.searchsorted(row, np.arange(len(offsets)))
-                whole = data.tobytes()
-                out = []
-                for k in range(len(offsets) - 1):
-                    mine = np.arange(cuts[k], cuts[k + 1])
-                    mine = mine[np.isin(found[mine], grams[first + k])]
-                    often = np.isin(found[mine], hot).tolist()
-                    doc, key, s = ids[first + k], keys[first + k], int(offsets[k])
-                    for p, g, x, y, spread in zip(at[mine].tolist(), found[mine].tolist(), begin[mine].tolist(),
-                                                  end[mine].tolist(), often):
-                        text = whole[x:y + length]
+                low, high = np.searchsorted(owner, [first, first + len(offsets) - 1])
+                # by anchor and row at once; where two such sums are equal by chance,
+                # a context more is told, and it meets no other
+                told = np.flatnonzero(np.isin(found + mix(row.astype(np.uint64)),
+                                              grams[low:high] + mix((owner[low:high] - first).astype(np.uint64))))
+                for k in range(0, len(told), SLICE):
+                    mine = told[k:k + SLICE]
+                    p, g, x, r = at[mine], found[mine], begin[mine], row[mine]
+                    sizes = end[mine] + length - x
+                    spread = np.isin(g, hot) if len(hot) else np.zeros(len(g), bool)
+                    hashes = [None] * len(g)
+                    for i in np.flatnonzero(spread).tolist():
                         # equal bytes around an anchor elsewhere in them are another context
-                        name = xxhash.xxh3_128_digest(text + bytes([p - x]))
-                        out.append((name, g if g < 1 << 63 else g - (1 << 64), text, p - x, doc, key, x - s,
-                                    -1 - x % buckets if spread else g % buckets))
-                columns = list(zip(*out)) or [()] * 8
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
-                    pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names)
+                        hashes[i] = xxhash.xxh3_128_digest(data[x[i]:x[i] + sizes[i]].tobytes() + bytes([p[i] - x[i]]))
+                    bucket = np.where(spread, -1 - x % buckets, (g % np.uint64(buckets)).astype(np.int64))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(hashes, pa.binary()), pa.array(g.view(np.int64), mask=~spread), _cuts(data, x, sizes),
+                        pa.array((p - x).astype(np.int32)), pa.array(ids[first + r]), pa.array(keys[first + r]),
+                        pa.array((x - offsets[r]).astype(np.int32)), pa.array(bucket.astype(np.int32))], names)
 
     return docs.select("doc", "key", "text", "grams").mapInArrow(run, CONTEXT + ", bucket int")
 
@@ -370,23 +390,21 @@ def _meet_in_bucket(length: int, gram: int):
         table = table.filter(pa.compute.invert(spread))
         if not len(table):
             return passing
-        names, which = {}, np.empty(len(table), np.int64)  # which context each occurrence has
-        for i, h in enumerate(table.column("hash").to_pylist()):
-            which[i] = names.setdefault(h, len(names))
+        # which context each occurrence has: equal bytes around an anchor elsewhere in them are another one
+        code = table.column("context").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+        _, one_of, which = np.unique(code * length + table.column("at").to_numpy(), return_index=True, return_inverse=True)
         doc, key, start = (table.column(c).to_numpy() for c in ("doc", "key", "start"))
-        m = len(names)
-        one_of = np.empty(m, np.int64)
-        one_of[which] = np.arange(len(which))
+        m = len(one_of)
         first, last = np.full(m, np.iinfo(np.int64).max), np.full(m, np.iinfo(np.int64).min)
         np.minimum.at(first, which, doc)
         np.maximum.at(last, which, doc)
         distinct = table.take(pa.array(one_of))
-        texts, grams, places = (distinct.column(c).to_pylist() for c in ("context", "gram", "at"))
-        sides: dict = {}
-        for i, (t, g, p) in enumerate(zip(texts, grams, places)):
+        texts, places = (distinct.column(c).to_pylist() for c in ("context", "at"))
+        sides: dict = {}  # their bytes hold the anchor
+        for i, (t, p) in enumerate(zip(texts, places)):
             for back in range(0, rest + 1, STEP):  # a string with back .. back + STEP - 1 bytes before the anchor
                 if p >= back and len(t) >= (past := p + gram + max(rest - back - STEP + 1, 0)):
-                    sides.setdefault((g, back, t[p - back:past]), []).append(i)
+                    sides.setdefault((back, t[p - back:past]), []).append(i)
         meeting = np.unique([i for group in sides.values() if len(group) > 1 for i in group]).astype(np.int64)
         alone = np.ones(m, bool)
         alone[meeting] = False

@@ -128,6 +128,30 @@ def test_span_dedup(spark, monkeypatch, hot):
                    for k, v in kept.items())
 
 
+def test_span_contexts_travel_as_bytes(spark):
+    """Every context is cut where its anchor stands; only those of hot anchors carry hash and gram."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcde ") for _ in range(n)) for n in (50, 400, 49, 1000)]
+    listed = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        found = span_dedup.anchored(data, np.array([0, len(data)]))[1]
+        listed.append([found[:2].tobytes(), found[2:].tobytes()])
+    hot = np.sort(np.frombuffer(listed[1][0], np.uint64))
+    frame = spark.createDataFrame([(i, i + 7, t, [bytearray(x) for x in g]) for i, (t, g) in enumerate(zip(texts, listed))],
+                                  "doc long, key long, text string, grams array<binary>")
+    rows = span_dedup._contexts(frame, 50, 20, 5, hot).collect()
+    strings = Counter()
+    for r in rows:
+        text = texts[r["doc"]].encode()
+        assert r["key"] == r["doc"] + 7 and r["at"] + 20 <= len(r["context"])
+        assert text[r["start"]:r["start"] + len(r["context"])] == r["context"]
+        assert (r["hash"] is None) == (r["gram"] is None) == (r["bucket"] >= 0)
+        strings.update((r["doc"], r["start"] + k) for k in range(len(r["context"]) - 49))
+    assert strings == Counter((i, k) for i, t in enumerate(texts) for k in range(len(t) - 49))
+    assert sum(r["hash"] is not None for r in rows) == 2
+
+
 def test_suffix_groups():
     rng = random.Random(1)
     for _ in range(30):
