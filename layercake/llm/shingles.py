@@ -13,9 +13,12 @@ _POWER = np.uint64(0xD6E8FEB86659FD93)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every bit of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:

@@ -50,14 +50,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layercake.llm.common import arrow_batches, materialize, steady, text_buffer
-from layercake.llm.shingles import mix
+from layercake.llm.shingles import mix, powers
 
 LENGTH = 50
 GRAM = 20
 SHARD_CONTEXTS = 4_000
 HOT_DOCUMENTS = 20_000  # of an anchor: below, its contexts fit one task
 HOT_ANCHORS = 1 << 18
-BLOCK = 1 << 19
+BLOCK = 1 << 16  # bytes of text at once: the arrays over them stay in a core's cache
 FLUSH = 1 << 20
 STEP = 8  # of the bytes before an anchor, in telling which contexts may share a string
 BROADCAST_IDS = 1_000_000
@@ -78,29 +78,31 @@ def _grams(data: np.ndarray, gram: int) -> np.ndarray:
     parts, size, have = {1: data.astype(np.uint64) + np.uint64(1)}, 1, None
     while 2 * size <= gram:
         x = parts[size]
-        parts[2 * size] = x[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + x[size:]
+        parts[2 * size] = x[:-size] * np.uint64(pow(_BASE, size, 1 << 64))
+        parts[2 * size] += x[size:]
         size *= 2
     at = 0
     for size in sorted(parts, reverse=True):
         if gram & size:
             n = len(data) - gram + 1
             piece = parts[size][at:at + n]
-            have = piece if have is None else have * np.uint64(pow(_BASE, size, 1 << 64)) + piece
+            if have is None:
+                have = piece
+            else:
+                have *= np.uint64(pow(_BASE, size, 1 << 64))
+                have += piece
             at += size
     return mix(have)
 
 
-def _windows(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
+def _lows(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     """Hash of every gram; the smallest of each string's, 0 where a string
-    would cross into the next text; places that are smallest in some string."""
-    window = length - gram + 1
+    would cross into the next text."""
     hashes = _grams(data, gram)
-    lows = _slide(hashes, window, np.minimum)  # of the string that starts here
+    lows = _slide(hashes, length - gram + 1, np.minimum)  # of the string that starts here
     for end in offsets[1:].tolist():
         lows[max(end - length + 1, 0):end] = 0  # strings do not cross texts
-    padded = np.concatenate([np.zeros(window - 1, np.uint64), lows, np.zeros(window - 1, np.uint64)])
-    highs = _slide(padded, window, np.maximum)  # the largest low of the strings that hold this gram
-    return hashes, lows, np.flatnonzero((highs == hashes) & (hashes != 0))
+    return hashes, lows
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -108,7 +110,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     place that has the smallest hash of a ``length``-byte string."""
     if len(data) < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes, _, at = _windows(data, offsets, length, gram)
+    hashes, lows = _lows(data, offsets, length, gram)
+    beyond = np.zeros(length - gram, np.uint64)
+    # the largest low of the strings that hold this gram
+    highs = _slide(np.concatenate([beyond, lows, beyond]), length - gram + 1, np.maximum)
+    at = np.flatnonzero((highs == hashes) & (hashes != 0))
     return at, hashes[at]
 
 
@@ -117,17 +123,22 @@ def anchored(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram:
     strings whose first smallest gram each is: every string has one anchor."""
     if len(data) < length:
         return (np.empty(0, np.int64), np.empty(0, np.uint64)) + (np.empty(0, np.int64),) * 2
-    hashes, lows, at = _windows(data, offsets, length, gram)
-    begins = np.flatnonzero(lows)
-    low, of = lows[begins], np.searchsorted(at, begins)  # the first anchor from a string's start on
-    value = hashes[at]
-    open_ = np.flatnonzero(value[of] != low)
-    while len(open_):
-        of[open_] += 1
-        open_ = open_[value[of[open_]] != low[open_]]
-    heads = np.flatnonzero(np.diff(of, prepend=-1))
-    own = of[heads]
-    return at[own], value[own], begins[heads], begins[np.append(heads[1:], len(of)) - 1]
+    hashes, lows = _lows(data, offsets, length, gram)
+    window = length - gram + 1
+    strings = lows != 0
+    # a string has the anchor of the one before it, unless its low is another
+    # or that anchor was the first gram of the one before
+    heads = strings.copy()
+    heads[1:] &= (lows[1:] != lows[:-1]) | (hashes[:len(lows) - 1] == lows[:-1])
+    tails = strings.copy()
+    tails[:-1] &= heads[1:] | ~strings[1:]
+    begin, end = np.flatnonzero(heads), np.flatnonzero(tails)
+    low = lows[begin]
+    at = begin + window - 1  # a new least hash comes in at the end of its string
+    others = np.flatnonzero((begin == 0) | (lows[begin - 1] <= low))
+    grams = np.lib.stride_tricks.sliding_window_view(hashes, window)[begin[others]]
+    at[others] = begin[others] + (grams == low[others][:, None]).argmax(axis=1)
+    return at, low, begin, end
 
 
 def _text_blocks(column: pa.Array, block: int = BLOCK):
@@ -165,7 +176,9 @@ def suffix_groups(contexts: list[bytes], length: int, folder: str) -> tuple[np.n
         order = np.argsort(symbols, kind="stable")  # places by symbol: what last-to-first mapping reads
         bounds = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=256))])
         ended, own = int(bounds[1]), symbols[place].astype(np.int64)
-        r = _ranks(order, bounds, own, place)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        r = rank[place]
         has_left, has_right = r > bounds[own], r + 1 < bounds[own + 1]
         left, right = order[np.where(has_left, r - 1, r)], order[np.where(has_right, r + 1, r)]
         low = _range_minima(prefixes, np.where(has_left, left + 1, place), place)
@@ -222,22 +235,16 @@ class _File:
         return values
 
 
-def _ranks(order: np.ndarray, bounds: np.ndarray, symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Where in ``order``, which is sorted by symbol, then place, the places stand."""
-    n = len(order)
-    keys = order + np.repeat(np.arange(256) * n, np.diff(bounds))
-    return np.searchsorted(keys, symbols * n + place)
-
-
 def _range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Minimum of values[low..high], both included, for every pair."""
-    level = np.log2(high - low + 1).astype(np.int64)
+    level = np.log2(high - low + 1).astype(np.uint8)
+    by, ends = np.argsort(level, kind="stable"), np.cumsum(np.bincount(level)).tolist()
     out = np.empty(len(low), values.dtype)
     table, at = values, 0
-    for k in range(int(level.max(initial=0)) + 1):
+    for k, end in enumerate(ends):
         if k:
             table = np.minimum(table[:len(table) - at], table[at:])
-        mine = np.flatnonzero(level == k)
+        mine = by[ends[k - 1] if k else 0:end]
         out[mine] = np.minimum(table[low[mine]], table[high[mine] - (1 << k) + 1])
         at = 1 << k
     return out
@@ -399,19 +406,12 @@ def _meet_in_bucket(length: int, gram: int):
         np.minimum.at(first, which, doc)
         np.maximum.at(last, which, doc)
         distinct = table.take(pa.array(one_of))
-        texts, places = (distinct.column(c).to_pylist() for c in ("context", "at"))
-        sides: dict = {}  # their bytes hold the anchor
-        for i, (t, p) in enumerate(zip(texts, places)):
-            for back in range(0, rest + 1, STEP):  # a string with back .. back + STEP - 1 bytes before the anchor
-                if p >= back and len(t) >= (past := p + gram + max(rest - back - STEP + 1, 0)):
-                    sides.setdefault((back, t[p - back:past]), []).append(i)
-        meeting = np.unique([i for group in sides.values() if len(group) > 1 for i in group]).astype(np.int64)
-        alone = np.ones(m, bool)
-        alone[meeting] = False
-        alone = np.flatnonzero(alone & (first < last))
-        sizes = np.array([len(t) for t in texts], np.int64)
+        texts = distinct.column("context").combine_chunks().cast(pa.large_binary())
+        sizes = pc.binary_length(texts).to_numpy()
+        met = _sharing(texts, distinct.column("at").to_numpy(), sizes, rest, gram)
+        meeting, alone = np.flatnonzero(met), np.flatnonzero(~met & (first < last))
         with tempfile.TemporaryDirectory(prefix="suffixes-") as folder:
-            who, place, group = suffix_groups([texts[i] for i in meeting], length, folder)
+            who, place, group = suffix_groups(texts.take(pa.array(meeting)).to_pylist(), length, folder)
         who = meeting[who]
         runs = _runs(who, place, _least(group, first[who]), last)
         runs = [np.concatenate(x) for x in zip(runs, (alone, np.zeros(len(alone), np.int64), sizes[alone] - length + 1,
@@ -436,6 +436,26 @@ def _meet_in_bucket(length: int, gram: int):
     return one
 
 
+def _sharing(texts: pa.Array, places: np.ndarray, sizes: np.ndarray, rest: int, gram: int) -> np.ndarray:
+    """Whether a context has the anchor and as much of the rest around it as a
+    string has at least in common with another one.  Told by 64-bit sums of the
+    bytes: two that are equal by chance go through the suffix order in vain."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    power, unit = (powers(np.uint64(x), len(data) + 1) for x in (_BASE | 1, pow(_BASE | 1, -1, 1 << 64)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1])])
+    middle, out = offsets[:-1] - offsets[0] + places, np.zeros(len(texts), bool)
+    for back in range(0, rest + 1, STEP):  # a string with back .. back + STEP - 1 bytes before the anchor
+        past = gram + max(rest - back - STEP + 1, 0)
+        mine = np.flatnonzero((places >= back) & (sizes >= places + past))
+        start = middle[mine] - back
+        side = (sums[middle[mine] + past] - sums[start]) * unit[start]  # where in the data they lie is taken out
+        by = np.argsort(side)
+        same = np.flatnonzero(side[by[1:]] == side[by[:-1]])
+        out[mine[by[same]]] = out[mine[by[same + 1]]] = True
+    return out
+
+
 def _least(group: np.ndarray, values: np.ndarray) -> np.ndarray:
     """The least value of each row's group."""
     if not len(group):
@@ -554,16 +574,18 @@ def _joined_spans(hits: DataFrame) -> DataFrame:
     @steady
     def run(batches):
         for b in batches:
-            spans = []
-            for row in b.column(2).to_pylist():
-                s, e = np.array([(x["s"], x["e"]) for x in row], np.int64).T
-                reach = np.maximum.accumulate(e)
-                new = np.concatenate([[True], s[1:] > reach[:-1]])
-                starts = s[new]
-                ends = reach[np.append(np.flatnonzero(new)[1:], len(s)) - 1]
-                spans.append([{"s": x, "e": y} for x, y in zip(starts.tolist(), ends.tolist())])
-            kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, kind)], ["doc", "key", "spans"])
+            lists = b.column(2)
+            s, e = (x.to_numpy() for x in lists.flatten().flatten())
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            beyond = int(e.max(initial=0)) + 1
+            reach = np.maximum.accumulate(e + row * beyond) - row * beyond  # of the row's hits so far
+            new = np.ones(len(s), bool)
+            new[1:] = (row[1:] != row[:-1]) | (s[1:] > reach[:-1])
+            heads = np.flatnonzero(new)
+            spans = pa.StructArray.from_arrays([pa.array(s[heads]), pa.array(reach[np.append(heads, len(s))[1:] - 1])], ["s", "e"])
+            bounds = np.searchsorted(row[heads], np.arange(len(lists) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(bounds), spans)], ["doc", "key", "spans"])
 
     return hits.select("doc", "key", "hits").mapInArrow(run, "doc long, key long, spans array<struct<s:long,e:long>>")
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row, functions as F
 
@@ -152,6 +153,55 @@ def test_span_contexts_travel_as_bytes(spark):
     assert sum(r["hash"] is not None for r in rows) == 2
 
 
+def test_span_anchors_one_for_every_string():
+    """A string's anchor is its first smallest gram, across ties, runs of one byte and text ends."""
+    rng = random.Random(4)
+    texts = ["a" * 90, "ab" * 60, "", "b" * 49, *("".join(rng.choice("ab") for _ in range(rng.randint(0, 300))) for _ in range(40))]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    found = {}
+    for at, hash_, first, last in zip(*(x.tolist() for x in span_dedup.anchored(data, offsets))):
+        found |= dict.fromkeys(range(first, last + 1), (at, hash_))
+    hashes, want = span_dedup._grams(data, 20).tolist(), {}
+    for s, e in zip(offsets.tolist(), offsets[1:].tolist()):
+        for k in range(s, e - 49):
+            at = min(range(k, k + 31), key=lambda p: (hashes[p], p))
+            want[k] = at, hashes[at]
+    assert found == want
+    assert {*span_dedup.anchors(data, offsets)[0].tolist()} >= {at for at, _ in want.values()}
+
+
+def test_span_contexts_that_share_a_string_are_told():
+    rng = random.Random(5)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 80))) for _ in range(60)]
+    texts += [t[:rng.randint(50, len(t))] for t in texts[:20]]
+    places = [rng.randint(0, 30) for _ in texts[:60]]
+    places = np.array(places + places[:20])
+    sides = {}
+    for i, (t, p) in enumerate(zip(texts, places.tolist())):
+        for back in range(0, 31, span_dedup.STEP):
+            past = p + 20 + max(30 - back - span_dedup.STEP + 1, 0)
+            if p >= back and len(t) >= past:
+                sides.setdefault((back, t[p - back:past]), []).append(i)
+    want = {i for group in sides.values() if len(group) > 1 for i in group}
+    column = pa.array([b"left out", *texts], pa.large_binary())[1:]
+    got = span_dedup._sharing(column, places, np.array([len(t) for t in texts]), 30, 20)
+    assert 0 < len(want) < len(texts) and {*np.flatnonzero(got).tolist()} == want
+
+
+def test_span_hits_are_joined_a_batch_at_once(spark):
+    rng = random.Random(6)
+    rows = [(d, d % 7, [(s, s + rng.randint(1, 9)) for s in sorted(rng.sample(range(200), rng.randint(1, 30)))]) for d in range(300)]
+    frame = spark.createDataFrame(rows, "doc long, key long, hits array<struct<s:long,e:long>>")
+    want = {}
+    for d, _, hits in rows:
+        cover = {x for s, e in hits for x in range(s, e)}
+        starts = [x for x in sorted(cover) if x - 1 not in cover]
+        want[d] = [(s, next(x for x in range(s, 300) if x not in cover)) for s in starts]
+    got = {r["doc"]: [(x["s"], x["e"]) for x in r["spans"]] for r in span_dedup._joined_spans(frame).collect()}
+    assert got == want
+
+
 def test_suffix_groups():
     rng = random.Random(1)
     for _ in range(30):
