@@ -73,3 +73,21 @@ def test_lookup_leaves_the_facts_where_they_are(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert keys.lookup_bytes(dim.select("name", "sk")) == 4 * 24 + 3
     assert keys.lookup_bytes(dim.limit(0)) == 0
+
+
+def test_lookup_beyond_the_broadcast_does_not_sort_the_facts(spark, monkeypatch):
+    from layercake.operators import keys
+    facts = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("x", 5)], "k string, n int")
+    dim = spark.createDataFrame([("a", 10), ("b", 20), ("b", 21), (None, 40)], "name string, sk long")
+    monkeypatch.setattr(keys, "LOOKUP_BYTES", 0)
+    want = [(1, 10), (2, 20), (2, 21), (3, 20), (3, 21), (4, None), (5, None)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, kind in ((keys.HASHED_BYTES, "ShuffledHashJoin"), (1, "SortMergeJoin")):
+            monkeypatch.setattr(keys, "HASHED_BYTES", limit)
+            out = keys.lookup_surrogate(facts, dim, F.col("k"), F.col("name"), ["sk"])
+            assert kind in out._jdf.queryExecution().executedPlan().toString()
+            assert sorted((r["n"], r["sk"] or 0) for r in out.collect()) == [(n, sk or 0) for n, sk in want]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
