@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layercake.plans import runners
+from layercake.plans import registry, runners
 from layercake.session import run_dir
 from layercake.sources.catalog import Layers
 from layercake.sources.csv_ingest import CORRUPT, LoadSpec, ingest, read_extract
@@ -81,6 +81,24 @@ def test_first_run_with_a_failing_silver_table(spark, small_dir, monkeypatch):
         assert other.table(f"v_gold.{report}").count() == df.count() > 0
 
 
+def test_report_views_first_run_lacks_two_extracts_only(spark, small_dir, monkeypatch):
+    run_all, runs = runners.run_all, []
+
+    def run(*args, **options):
+        out = run_all(*args, **options)
+        facts = spark.table("rv_gold.fact_sales")
+        runs.append(({name.split(".")[1]: n for _, name, n, *_ in out["silver_ok"]}, facts.count(),
+                     facts.where("customer_key is not null and product_key is not null").count()))
+        return out
+
+    monkeypatch.setattr(runners, "run_all", run)
+    registry.report_views(spark, small_dir)
+    (first, facts, keyed), (loaded, *then) = runs
+    assert len(loaded) == 6 and all(loaded.values())
+    assert first == loaded | {"erp_loc_a101": 0, "erp_cust_az12": 0}
+    assert [facts, keyed] == then and keyed > 0
+
+
 def test_threshold_keeps_previous_version(spark, csv_dir):
     spark.sql("CREATE NAMESPACE IF NOT EXISTS t_bronze")
     ingest(spark, LoadSpec("t2", csv_dir, SCHEMA), "t_bronze.t2", max_errors=10)
