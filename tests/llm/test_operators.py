@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import tempfile
@@ -16,6 +17,7 @@ from pyspark.sql import Row, functions as F
 from layercake.llm import (bpe, graph_search, html_text, jaccard_join, line_dedup, packing, span_dedup, token_files,
                            tokens, toxicity, vector_dedup)
 from layercake.llm.queries import tokenizer_path
+from layercake.session import materialize, shared_root
 
 SCHEMA = "doc_id long, text string, bucket int, hash string"  # the last two clash with inner names
 
@@ -402,6 +404,42 @@ def test_vector_dedup_settles_dense_clusters(spark):
     assert heart_rows.where("n is null").count() == 0 and heart_rows.count() <= 150 * 8
 
 
+def _size(*folders):
+    return sum(os.path.getsize(os.path.join(d, f)) for folder in folders for d, _, files in os.walk(folder) for f in files)
+
+
+def test_vector_dedup_disk_grows_with_the_vectors(spark):
+    """Not with the tiles that meet: 3,000 vectors in tiles of 50 are written and sent a few times over."""
+    x = np.random.default_rng(8).standard_normal((3000, 64)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "rep long, size long, embedding array<float>")
+    vectors = materialize(vectors, spark, "test_vectors")
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    folders = [shared_root(spark).removeprefix("file:"), *(d.getPath() for d in local)]
+    before = _size(*folders)
+    assert vector_dedup.meetings(spark, vectors, tile_rows=50).count() == 0
+    assert _size(*folders) - before <= 4 * x.nbytes
+
+
+def test_vector_dedup_over_tiles_and_lengths(spark):
+    """Crowded cells, uneven components, lengths beyond those that are turned to
+    their own components, zeros of both signs, extreme values: by brute force."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for dim in (2, 40, 300):
+        centres = rng.standard_normal((6, dim)) * rng.choice([0.1, 1, 4], dim) + 1
+        near = centres[rng.integers(0, 6, 150)]
+        rows += list(near + rng.choice([0.05, 0.2, 0.4], (150, 1)) * rng.standard_normal((150, dim)) * np.abs(near))
+    rows += [[0.0, 1.0], [-0.0, 1.0], [0.0, 1e-200], [-1e200, 0.0]]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    unit = [np.array(v) / np.abs(v).max() for v in rows]
+    unit = [v / np.linalg.norm(v) for v in unit]
+    linked = [[i != j and len(u) == len(v) and bool(u @ v >= 0.95) for j, v in enumerate(unit)] for i, u in enumerate(unit)]
+    parts = _components(range(len(rows)), [(i, j) for i, line in enumerate(linked) for j, x in enumerate(line) if x])
+    got = _rows(vector_dedup.dedup(spark, df, block_dim=3, tile_rows=40), "vec_id", "n_links", "component_id", "kept")
+    assert got == {i: (sum(linked[i]), parts[i], parts[i] == i) for i in range(len(rows))}
+    assert 0 < sum(map(sum, linked)) < len(rows) ** 2 / 3
+
+
 def test_vector_dedup_of_null_and_repeated_vec_ids(spark):
     rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (3, [1.0, 0.02]), (None, None)]
     out = vector_dedup.dedup(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
